@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import scan as sc
 from millrace.session import written
@@ -49,7 +50,13 @@ def next_higher(
     numbered = numbered.withColumn("__chunk", F.floor((F.col("place") - 1) / chunk_rows))
     slim = numbered.select(*keys, "__chunk", "place", F.col(value).cast("double").alias("__v"))
 
-    schema = slim.schema.add("next_place", "long").add("__rising", "boolean")
+    schema = T.StructType(
+        [
+            *slim.schema.fields,
+            T.StructField("next_place", T.LongType()),
+            T.StructField("__rising", T.BooleanType()),
+        ]
+    )
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("place", ignore_index=True)

@@ -100,7 +100,11 @@ def complete_terms(tokens: DataFrame, terms: DataFrame) -> DataFrame:
 
 _NAME = r"[A-Za-z_][\w.]*"
 # one table of a FROM list: name and perhaps an alias
-_ITEM = rf"{_NAME}(?:\s+(?:as\s+)?[A-Za-z_]\w*)?"
+_NO_ALIAS = (
+    "as|join|inner|left|right|full|cross|natural|lateral|on|using|where|group|having|order|"
+    "limit|union|intersect|except|window|tablesample"
+)
+_ITEM = rf"{_NAME}(?:\s+(?:as\s+)?(?!(?:{_NO_ALIAS})\b)[A-Za-z_]\w*)?"
 _ROLES = {
     "read": rf"(?i)\b(?:from|join)\s+({_ITEM}(?:\s*,\s*{_ITEM})*)",
     "write": rf"(?i)\binsert\s+(?:into|overwrite)\s+(?:table\s+)?({_NAME})",
@@ -109,6 +113,11 @@ _ROLES = {
 _CTE = rf"(?i)(?:\bwith|,)\s*({_NAME})\s+as\s*\("
 
 
+def _hits(pattern: str, role: str) -> Column:
+    names = F.regexp_extract_all(F.col("__sql"), F.lit(pattern))
+    return F.transform(names, lambda found: F.struct(F.lit(role).alias("role"), found.alias("names")))
+
+
 def query_tables(log: DataFrame, query_id: str, text: str) -> DataFrame:
     """Tables each logged SQL text names: ``query_id``, ``table``, ``role``.
 
@@ -124,13 +133,7 @@ def query_tables(log: DataFrame, query_id: str, text: str) -> DataFrame:
         plain.alias("__sql"),
         F.transform(F.regexp_extract_all(plain, F.lit(_CTE)), F.lower).alias("__cte"),
     )
-    per_role = [
-        F.transform(
-            F.regexp_extract_all(F.col("__sql"), F.lit(pattern)),
-            lambda names, role=role: F.struct(F.lit(role).alias("role"), names.alias("names")),
-        )
-        for role, pattern in _ROLES.items()
-    ]
+    per_role = [_hits(pattern, role) for role, pattern in _ROLES.items()]
     hits = found.select(query_id, "__cte", F.explode(F.concat(*per_role)).alias("__hit"))
     item = F.explode(F.split("__hit.names", r"\s*,\s*"))
     return (
