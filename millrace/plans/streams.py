@@ -127,7 +127,17 @@ def stream_status_sequence(spark, sf):
     return _shown(rn.run_to_table(out))
 
 
-@query("stream_union", _sql_window(1, "event_type, ", "count(*) AS n", ", event_type", "event_type IN ('click', 'view')"))
+# the slower of the two streams holds the common watermark back
+_BOTH_CLOSED = """(SELECT min(last) - INTERVAL 5 SECOND FROM (
+    SELECT max(ts) AS last FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type))"""
+
+
+@query(
+    "stream_union",
+    _sql_window(
+        1, "event_type, ", "count(*) AS n", ", event_type", "event_type IN ('click', 'view')"
+    ).replace(_CLOSED, _BOTH_CLOSED),
+)
 def stream_union(spark, sf):
     clicks = rn.event_stream(spark, sf).where("event_type = 'click'")
     views = rn.event_stream(spark, sf).where("event_type = 'view'")
@@ -169,9 +179,9 @@ def stream_running_count(spark, sf):
 )
 def stream_json_running_count(spark, sf):
     """Count per JSON key, forgotten two hours after its last row."""
-    events = rn.table_stream(spark, sf, "events", rn.BATCH_BYTES).select(sx.json_field("props", "$.k").alias("k"))
+    events = rn.table_stream(spark, sf, "events").select(sx.json_field("props", "$.k").alias("k"))
     counter = pr.RunningCount(("k",), ttl_ms=pr.TWO_HOURS_MS)
-    return rn.run_to_table(pr.process(events, ["k"], counter, "k string, n long"))
+    return rn.run_to_table(pr.process(events, ["k"], counter, "k string, n long", "ProcessingTime"), once=True)
 
 
 @query(
@@ -183,7 +193,7 @@ def stream_timer_event(spark, sf):
     """A timer two seconds after every event, rounded up to full seconds."""
     events = rn.event_stream(spark, sf).select("user_id", "ts", rn.epoch_ms("ts").alias("ms"))
     timer = pr.DueTimer("user_id", "ms", after_ms=2000, round_ms=1000)
-    return rn.run_to_table(pr.process(events, ["user_id"], timer, "user_id long, due_ms long", event_time=True))
+    return rn.run_to_table(pr.process(events, ["user_id"], timer, "user_id long, due_ms long", "EventTime"))
 
 
 @query(

@@ -174,12 +174,15 @@ def process(
     keys: list[str],
     processor: StatefulProcessor,
     schema: str,
-    event_time: bool = False,
+    time_mode: str = "None",
 ) -> DataFrame:
-    """Run a processor per key; rows come out in append mode."""
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        processor, schema, "append", "EventTime" if event_time else "ProcessingTime"
-    )
+    """Run a processor per key; rows come out in append mode.
+
+    ``time_mode`` is ``None`` (no timers, every row counts), ``EventTime``
+    (timers follow the watermark, late rows are dropped before) or
+    ``ProcessingTime`` (needed for time-to-live).
+    """
+    return stream.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", time_mode)
 
 
 def read_state(spark, checkpoint: str, variable: str) -> DataFrame:

@@ -54,11 +54,13 @@ def replay_stream(spark: SparkSession, schema: T.StructType | str, folder: str)
 
 
 def run_to_table(
-    stream: DataFrame, checkpoint: str | None = None, path: str | None = None
+    stream: DataFrame, checkpoint: str | None = None, path: str | None = None, once: bool = False
 ) -> DataFrame:
     """Run an append-mode stream over all available input; return what it wrote.
 
     Passing the same ``checkpoint`` and ``path`` again continues the run.
+    Processing-time processors always ask for another batch, since time goes
+    on; ``once`` gives them a single one.
     """
     spark = stream.sparkSession
     path = path or work_dir(spark, "stream-out")
@@ -67,7 +69,7 @@ def run_to_table(
         .format("parquet")
         .option("checkpointLocation", checkpoint or work_dir(spark, "stream-checkpoint"))
         .option("path", path)
-        .trigger(availableNow=True)
+        .trigger(**({"once": True} if once else {"availableNow": True}))
         .start()
     )
     run.awaitTermination()
