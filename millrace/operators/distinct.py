@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 def bitmap_partials(df: DataFrame, keys: Sequence[str], ids: str) -> DataFrame:
     """One bitmap per key and id range; partials of several days can be merged.
 
-    Ids are whole numbers, negative ones included; nulls are ignored. Bitmaps
-    are built map-side, and a busy key spreads over its id ranges.
+    Ids are whole numbers, negative ones included; null ids make an empty
+    bitmap. Bitmaps are built map-side, and a busy key spreads over its id ranges.
     """
     value = F.col(ids).cast("long")
-    return (
-        df.where(F.col(ids).isNotNull())
-        .groupBy(*keys, F.bitmap_bucket_number(value).alias("id_range"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap"))
+    return df.groupBy(*keys, F.bitmap_bucket_number(value).alias("id_range")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap")
     )
 
 
@@ -29,7 +27,8 @@ def merge_partials(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def count_partials(partials: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Distinct ids per key; the id ranges of one key do not overlap."""
-    return partials.groupBy(*keys).agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias(name))
+    ids = F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0))
+    return partials.groupBy(*keys).agg(ids.cast("long").alias(name))
 
 
 def bitmap_distinct(df: DataFrame, keys: Sequence[str], ids: str, name: str) -> DataFrame:
@@ -37,14 +36,7 @@ def bitmap_distinct(df: DataFrame, keys: Sequence[str], ids: str, name: str) ->
 
     A key whose ids are all null counts 0, as a distinct count does.
     """
-    every = df.groupBy(*keys).agg(F.lit(0).cast("long").alias("__zero"))
-    counted = count_partials(bitmap_partials(df, keys, ids), keys, name)
-    if not df.schema[ids].nullable:
-        return counted
-    if not keys:
-        return counted.select(F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name))
-    both = counted.unionByName(every.withColumnRenamed("__zero", name))
-    return both.groupBy(*keys).agg(F.sum(name).alias(name))
+    return count_partials(bitmap_partials(df, keys, ids), keys, name)
 
 
 def two_step_distinct(df: DataFrame, keys: Sequence[str], ids: str, name: str) -> DataFrame:

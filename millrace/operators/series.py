@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators import scan as sc
 from millrace.session import written
@@ -16,17 +16,34 @@ from millrace.session import written
 CHUNK_ROWS = 100_000
 
 
-def _later_and_greater(values: np.ndarray) -> np.ndarray:
-    """Per position the first later position with a greater value, else -1."""
-    found = np.full(len(values), -1, dtype=np.int64)
-    waiting: list[int] = []
-    for i, v in enumerate(values.tolist()):
-        if v != v:  # a missing value answers nothing and is never an answer
-            continue
-        while waiting and values[waiting[-1]] < v:
-            found[waiting.pop()] = i
-        waiting.append(i)
-    return found
+def _answer_chunks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Next greater value inside each chunk of rows that come sorted by
+    (keys, chunk, place): rows wait on a stack until a greater one arrives."""
+    chunk, waiting, top = None, [], None
+    done: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        columns = list(zip(*done)) or [()] * len(schema)
+        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, schema)]
+        done.clear()
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    for batch in batches:
+        for row in zip(*[column.to_pylist() for column in batch.columns]):
+            here, (place, v) = row[:-2], row[-2:]
+            if here != chunk:
+                done.extend((*chunk, *open_row, None) for open_row in waiting)
+                chunk, waiting, top = here, [], None
+            if v is None or v != v:  # a missing value answers nothing and is no answer
+                done.append((*here, place, None, False, None))
+                continue
+            while waiting and waiting[-1][1] < v:
+                done.append((*here, *waiting.pop(), place))
+            waiting.append((place, v, top is None or v > top))
+            top = v if top is None else max(top, v)
+        yield flush()
+    done.extend((*chunk, *open_row, None) for open_row in waiting)
+    yield flush()
 
 
 def next_higher(
@@ -53,30 +70,21 @@ def next_higher(
     schema = T.StructType(
         [
             *slim.schema.fields,
-            T.StructField("next_place", T.LongType()),
             T.StructField("__rising", T.BooleanType()),
+            T.StructField("next_place", T.LongType()),
         ]
     )
-
-    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place", ignore_index=True)
-        v = pdf["__v"].to_numpy()
-        at = _later_and_greater(v)
-        place = pdf["place"].to_numpy()
-        pdf["next_place"] = pd.array(np.where(at >= 0, place[at], 0), dtype="Int64")
-        pdf.loc[at < 0, "next_place"] = pd.NA
-        top = np.maximum.accumulate(np.where(np.isnan(v), -np.inf, v))
-        pdf["__rising"] = np.concatenate([[top[0] > -np.inf], top[1:] > top[:-1]])
-        return pdf
-
-    local = written(spark, slim.groupBy(*keys, "__chunk").applyInPandas(answer, schema), "next-higher")
+    arrow = to_arrow_schema(schema)
+    sorted_chunks = slim.repartition(*keys, "__chunk").sortWithinPartitions(*keys, "__chunk", "place")
+    answered = sorted_chunks.mapInArrow(lambda batches: _answer_chunks(batches, arrow), schema)
+    local = written(spark, answered, "next-higher")
     chunks = local.agg(F.max("__chunk")).first()[0] or 0
     if chunks == 0:
         found = local.select(*keys, "place", "next_place")
         return numbered.drop("__chunk").join(found, [*keys, "place"])
 
     key = F.struct(*keys)
-    open_rows = local.where("next_place IS NULL AND __v IS NOT NULL AND NOT isnan(__v)").select(
+    open_rows = local.where("next_place IS NULL AND __v IS NOT NULL").select(
         key.alias("__k"), "place", "__v", (F.col("__chunk") + 1).alias("__at")
     )
     # maxima[j]: key, chunk -> maximum of the 2^j chunks from there on

@@ -98,24 +98,23 @@ def complete_terms(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     return front.join(back, ["token", "term"], "left").select("token", "term", kind.alias("kind"))
 
 
-_NAME = r"[A-Za-z_][\w.]*"
+_NAME = r"[a-z_][\w.]*"
 # one table of a FROM list: name and perhaps an alias
 _NO_ALIAS = (
     "as|join|inner|left|right|full|cross|natural|lateral|on|using|where|group|having|order|"
     "limit|union|intersect|except|window|tablesample"
 )
-_ITEM = rf"{_NAME}(?:\s+(?:as\s+)?(?!(?:{_NO_ALIAS})\b)[A-Za-z_]\w*)?"
-_ROLES = {
-    "read": rf"(?i)\b(?:from|join)\s+({_ITEM}(?:\s*,\s*{_ITEM})*)",
-    "write": rf"(?i)\binsert\s+(?:into|overwrite)\s+(?:table\s+)?({_NAME})",
-    "view": rf"(?i)\bview\s+(?:if\s+not\s+exists\s+)?({_NAME})",
-}
-_CTE = rf"(?i)(?:\bwith|,)\s*({_NAME})\s+as\s*\("
-
-
-def _hits(pattern: str, role: str) -> Column:
-    names = F.regexp_extract_all(F.col("__sql"), F.lit(pattern))
-    return F.transform(names, lambda found: F.struct(F.lit(role).alias("role"), found.alias("names")))
+_ITEM = rf"{_NAME}(?:\s+(?:as\s+)?(?!(?:{_NO_ALIAS})\b)[a-z_]\w*)?"
+# one hit: a keyword and the name or names after it, in lower-cased text
+_HIT = (
+    rf"\b(?:from|join)\s+{_ITEM}(?:\s*,\s*{_ITEM})*"
+    rf"|\binsert\s+(?:into|overwrite)\s+(?:table\s+)?{_NAME}"
+    rf"|\bview\s+(?:if\s+not\s+exists\s+)?{_NAME}"
+)
+_KEYWORDS = r"^(?:from|join|insert\s+(?:into|overwrite)(?:\s+table)?|view(?:\s+if\s+not\s+exists)?)\s+"
+_CTE = rf"(?:\bwith|,)\s*({_NAME})\s+as\s*\("
+# literals, comments and EXTRACT(part FROM x) name no table
+_NOISE = r"'[^']*'|--[^\n]*|/\*[\s\S]*?\*/|\bextract\s*\([^)]*\)"
 
 
 def query_tables(log: DataFrame, query_id: str, text: str) -> DataFrame:
@@ -125,20 +124,21 @@ def query_tables(log: DataFrame, query_id: str, text: str) -> DataFrame:
     ``view`` (the view created). Names of WITH bodies, literals and comments
     do not count.
     """
-    plain = F.regexp_replace(F.col(text), r"'[^']*'", "''")
-    plain = F.regexp_replace(plain, r"--[^\n]*|/\*[\s\S]*?\*/", " ")
-    plain = F.regexp_replace(plain, r"(?i)\bextract\s*\([^)]*\)", " ")
-    found = log.select(
-        F.col(query_id),
-        plain.alias("__sql"),
-        F.transform(F.regexp_extract_all(plain, F.lit(_CTE)), F.lower).alias("__cte"),
+    plain = log.select(query_id, F.regexp_replace(F.lower(text), _NOISE, " ").alias("__sql"))
+    hits = plain.select(
+        query_id,
+        F.regexp_extract_all("__sql", F.lit(_CTE)).alias("__cte"),
+        F.explode(F.regexp_extract_all("__sql", F.lit(_HIT), F.lit(0))).alias("__hit"),
+    )
+    role = (
+        F.when(F.startswith("__hit", F.lit("insert")), "write")
+        .when(F.startswith("__hit", F.lit("view")), "view")
+        .otherwise("read")
     )
-    per_role = [_hits(pattern, role) for role, pattern in _ROLES.items()]
-    hits = found.select(query_id, "__cte", F.explode(F.concat(*per_role)).alias("__hit"))
-    item = F.explode(F.split("__hit.names", r"\s*,\s*"))
+    items = F.split(F.regexp_replace("__hit", _KEYWORDS, ""), r"\s*,\s*")
     return (
-        hits.select(query_id, "__cte", "__hit.role", item.alias("__item"))
-        .withColumn("table", F.lower(F.regexp_extract("__item", _NAME, 0)))
+        hits.select(query_id, "__cte", role.alias("role"), F.explode(items).alias("__item"))
+        .withColumn("table", F.regexp_extract("__item", _NAME, 0))
         .where(~F.array_contains("__cte", F.col("table")))
         .select(query_id, "table", "role")
         .distinct()
