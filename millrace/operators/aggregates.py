@@ -65,6 +65,32 @@ def split_hot_aggregate(
     return busy.unionByName(rest)
 
 
+def grouping_sets(
+    df: DataFrame,
+    keys: Sequence[str],
+    sets: Sequence[Sequence[str]],
+    partial: Sequence[Column],
+    final: Sequence[Column],
+) -> DataFrame:
+    """GROUPING SETS over rows grouped once by all keys, so that only groups,
+    not rows, are copied per set. Key columns left out of a set are null."""
+    groups = df.groupBy(*keys).agg(*partial)
+    return groups.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(k) for k in keys]).agg(*final)
+
+
+def all_subsets(keys: Sequence[str]) -> list[list[str]]:
+    """Sets of CUBE."""
+    out: list[list[str]] = [[]]
+    for k in reversed(keys):
+        out = [[k, *s] for s in out] + out
+    return out
+
+
+def all_prefixes(keys: Sequence[str]) -> list[list[str]]:
+    """Sets of ROLLUP."""
+    return [list(keys[:n]) for n in range(len(keys), -1, -1)]
+
+
 def multiset(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Value -> count map per key. Counting first keeps one entry per value."""
     return (

@@ -64,8 +64,10 @@ def next_higher(
     """
     spark = df.sparkSession
     numbered = sc.scan(df, keys, order, hot_rows=hot_rows, place=sc.row_number())
-    numbered = numbered.withColumn("__chunk", F.floor((F.col("place") - 1) / chunk_rows))
-    slim = numbered.select(*keys, "__chunk", "place", F.col(value).cast("double").alias("__v"))
+    # as a struct the key joins with itself where it is null, too
+    numbered = numbered.withColumn("__k", F.struct(*keys))
+    chunk = F.floor((F.col("place") - 1) / chunk_rows).alias("__chunk")
+    slim = numbered.select("__k", chunk, "place", F.col(value).cast("double").alias("__v"))
 
     schema = T.StructType(
         [
@@ -75,23 +77,22 @@ def next_higher(
         ]
     )
     arrow = to_arrow_schema(schema)
-    sorted_chunks = slim.repartition(*keys, "__chunk").sortWithinPartitions(*keys, "__chunk", "place")
+    sorted_chunks = slim.repartition("__k", "__chunk").sortWithinPartitions("__k", "__chunk", "place")
     answered = sorted_chunks.mapInArrow(lambda batches: _answer_chunks(batches, arrow), schema)
     local = written(spark, answered, "next-higher")
     chunks = local.agg(F.max("__chunk")).first()[0] or 0
     if chunks == 0:
-        found = local.select(*keys, "place", "next_place")
-        return numbered.drop("__chunk").join(found, [*keys, "place"])
+        found = local.select("__k", "place", "next_place")
+        return numbered.join(found, ["__k", "place"]).drop("__k")
 
-    key = F.struct(*keys)
     open_rows = local.where("next_place IS NULL AND __v IS NOT NULL").select(
-        key.alias("__k"), "place", "__v", (F.col("__chunk") + 1).alias("__at")
+        "__k", "place", "__v", (F.col("__chunk") + 1).alias("__at")
     )
     # maxima[j]: key, chunk -> maximum of the 2^j chunks from there on
     maxima = [
         written(
             spark,
-            local.groupBy(key.alias("__k"), F.col("__chunk").alias("__at")).agg(F.max("__v").alias("__max")),
+            local.groupBy("__k", F.col("__chunk").alias("__at")).agg(F.max("__v").alias("__max")),
             "maxima",
         )
     ]
@@ -112,7 +113,7 @@ def next_higher(
         open_rows = written(spark, step, "next-higher-step") if j % 4 == 0 else step
     # every open row now points at the chunk with its answer, if there is one
     rising = local.where("__rising").select(
-        key.alias("__k"), F.col("__chunk").alias("__at"), "__v", F.col("place").alias("__found")
+        "__k", F.col("__chunk").alias("__at"), "__v", F.col("place").alias("__found")
     )
     # smallest rising maximum above the value = last seen when sorted by falling value
     both = rising.withColumn("__open", F.lit(0)).withColumn("place", F.lit(None).cast("long")).unionByName(
@@ -122,14 +123,14 @@ def next_higher(
     seen = sc.scan(
         both, ["__k", "__at"], ["__v", "__open"], descending=True, hot_rows=hot_rows, __hit=sc.last_known("__found")
     )
-    crossed = seen.where("__open = 1").select("__k.*", "place", F.col("__hit").alias("__crossed"))
+    crossed = seen.where("__open = 1").select("__k", "place", F.col("__hit").alias("__crossed"))
     found = (
-        local.select(*keys, "place", "next_place")
-        .join(crossed, [*keys, "place"], "left")
+        local.select("__k", "place", "next_place")
+        .join(crossed, ["__k", "place"], "left")
         .withColumn("next_place", F.coalesce("next_place", "__crossed"))
         .drop("__crossed")
     )
-    return numbered.drop("__chunk").join(found, [*keys, "place"])
+    return numbered.join(found, ["__k", "place"]).drop("__k")
 
 
 def runs(

@@ -125,10 +125,10 @@ def query_tables(log: DataFrame, query_id: str, text: str) -> DataFrame:
     do not count.
     """
     plain = log.select(query_id, F.regexp_replace(F.lower(text), _NOISE, " ").alias("__sql"))
-    hits = plain.select(
-        query_id,
-        F.regexp_extract_all("__sql", F.lit(_CTE)).alias("__cte"),
-        F.explode(F.regexp_extract_all("__sql", F.lit(_HIT), F.lit(0))).alias("__hit"),
+    # once per text, not once per hit
+    bodies = plain.withColumn("__cte", F.regexp_extract_all("__sql", F.lit(_CTE)))
+    hits = bodies.select(
+        query_id, "__cte", F.explode(F.regexp_extract_all("__sql", F.lit(_HIT), F.lit(0))).alias("__hit")
     )
     role = (
         F.when(F.startswith("__hit", F.lit("insert")), "write")
@@ -139,7 +139,8 @@ def query_tables(log: DataFrame, query_id: str, text: str) -> DataFrame:
     return (
         hits.select(query_id, "__cte", role.alias("role"), F.explode(items).alias("__item"))
         .withColumn("table", F.regexp_extract("__item", _NAME, 0))
-        .where(~F.array_contains("__cte", F.col("table")))
+        # coalesce: else the planner tests the regular expressions for null a second time
+        .where(~F.coalesce(F.array_contains("__cte", F.col("table")), F.lit(False)))
         .select(query_id, "table", "role")
         .distinct()
     )

@@ -391,6 +391,16 @@ def word_count(spark, sf):
     return tj.word_count(load(spark, sf, "documents"), "text")
 
 
+_FLAGS = ["l_returnflag", "l_linestatus"]
+
+
+def _flag_sums():
+    return (
+        [rows().alias("n"), F.sum(money("l_quantity")).alias("qty")],
+        [F.sum("n").alias("n"), F.sum("qty").cast("double").alias("qty")],
+    )
+
+
 _SUMS = "count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty"
 
 
@@ -400,12 +410,8 @@ _SUMS = "count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) A
        GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), l_returnflag, l_linestatus, ())""",
 )
 def agg_grouping_sets(spark, sf):
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return (
-        load(spark, sf, "lineitem")
-        .groupingSets([[flag, status], [flag], [status], []], flag, status)
-        .agg(rows().alias("n"), F.sum(money("l_quantity")).cast("double").alias("qty"))
-    )
+    sets = [_FLAGS, _FLAGS[:1], _FLAGS[1:], []]
+    return ag.grouping_sets(load(spark, sf, "lineitem"), _FLAGS, sets, *_flag_sums())
 
 
 @query(
@@ -414,15 +420,9 @@ def agg_grouping_sets(spark, sf):
        GROUP BY CUBE (l_returnflag, l_linestatus)""",
 )
 def agg_cube(spark, sf):
-    return (
-        load(spark, sf, "lineitem")
-        .cube("l_returnflag", "l_linestatus")
-        .agg(
-            F.grouping_id().cast("long").alias("gid"),
-            rows().alias("n"),
-            F.sum(money("l_quantity")).cast("double").alias("qty"),
-        )
-    )
+    partial, final = _flag_sums()
+    final = [F.grouping_id().cast("long").alias("gid"), *final]
+    return ag.grouping_sets(load(spark, sf, "lineitem"), _FLAGS, ag.all_subsets(_FLAGS), partial, final)
 
 
 @query(
@@ -430,11 +430,7 @@ def agg_cube(spark, sf):
     f"SELECT l_returnflag, l_linestatus, {_SUMS} FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)",
 )
 def agg_rollup(spark, sf):
-    return (
-        load(spark, sf, "lineitem")
-        .rollup("l_returnflag", "l_linestatus")
-        .agg(rows().alias("n"), F.sum(money("l_quantity")).cast("double").alias("qty"))
-    )
+    return ag.grouping_sets(load(spark, sf, "lineitem"), _FLAGS, ag.all_prefixes(_FLAGS), *_flag_sums())
 
 
 _BY_TYPE = """SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
