@@ -45,15 +45,11 @@ def facts(df: DataFrame, key: str) -> DataFrame:
     counted = placed.groupBy("__part", key).agg(F.count(F.lit(1)).alias("__n"))
     per_part = counted.groupBy("__part").agg(F.sum("__n").alias("__n"))
     per_key = counted.groupBy(key).agg(F.count(F.lit(1)).alias("__parts"))
-    sizes = per_part.agg(
+    return per_part.agg(
         F.sum("__n").alias("rows"),
         F.count(F.lit(1)).alias("parts"),
         (F.max("__n") - F.min("__n")).alias("spread"),
-        F.lit(1).alias("__one"),
-    )
-    return sizes.join(
-        per_key.agg(F.max("__parts").alias("parts_per_key"), F.lit(1).alias("__one")), "__one"
-    ).drop("__one")
+    ).select("*", per_key.agg(F.max("__parts")).scalar().alias("parts_per_key"))
 
 
 def sorted_parts(df: DataFrame, parts: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -30,6 +30,8 @@ HOT_ROWS = 1_000_000
 # Blocks have equal width on the order column, not equal size. Cutting finer
 # than needed keeps the densest block near the limit.
 FINER = 8
+# Without keys a table above this size is cut into the square root of its rows.
+WHOLE_TABLE_ROWS = 1_000
 
 _KEY = "__key"
 _BLOCK = "__block"
@@ -216,16 +218,28 @@ class Ordered:
         self.columns = df.columns
         self.order = list(order)
         self.descending = descending
-        self.hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+        # Numbering a whole table is always cut; the square root keeps both the
+        # blocks and the list of their summaries short.
+        self.by_root = not keys and hot_rows is None
+        self.hot_rows = WHOLE_TABLE_ROWS if self.by_root else HOT_ROWS if hot_rows is None else hot_rows
         self.order_struct = F.struct(*[F.col(c) for c in self.order])
         # A struct is never null itself, and structs with equal null fields are equal.
         # Without keys the whole table is one key.
         key = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("all"))
         position = self._position(df.schema[self.order[0]].dataType)
         keyed = df.withColumn(_KEY, key)
-        hot = self._hot_keys(keyed.withColumn(_POS, position))
-        self.any_hot = not hot.isEmpty()
-        self._df = self._in_blocks(keyed.withColumn(_POS, position), hot) if self.any_hot else keyed
+        placed = keyed.withColumn(_POS, position)
+        hot = self._hot_keys(placed)
+        found = hot.select("__lo", "__width").first()
+        self.any_hot = found is not None
+        if not self.any_hot:
+            self._df = keyed
+        elif keys:
+            self._df = self._in_blocks(placed.join(F.broadcast(hot), _KEY, "left"))
+        else:
+            # one key: its two numbers are constants, no join needed
+            constants = {"__n": F.lit(1), "__lo": F.lit(found[0]), "__width": F.lit(found[1])}
+            self._df = self._in_blocks(placed.withColumns(constants))
         group = [_KEY, _BLOCK] if self.any_hot else [_KEY]
         order_by = [F.col(c).desc() if descending else F.col(c) for c in self.order]
         self.window = Window.partitionBy(*group).orderBy(*order_by)
@@ -233,7 +247,7 @@ class Ordered:
         self.to_peers = self.window.rangeBetween(_UNB, 0)
         self.all_rows = Window.partitionBy(*group)
 
-    def _in_blocks(self, keyed: DataFrame, hot: DataFrame) -> DataFrame:
+    def _in_blocks(self, rows: DataFrame) -> DataFrame:
         block = (
             F.when(F.col("__n").isNull(), F.lit(0))
             # null order values sort first (ascending) or last (descending)
@@ -242,8 +256,7 @@ class Ordered:
             .otherwise(F.lit(0))
         )
         return (
-            keyed.join(F.broadcast(hot), _KEY, "left")
-            .withColumn(_BLOCK, block.cast("long"))
+            rows.withColumn(_BLOCK, block.cast("long"))
             .withColumn("__is_hot", F.col("__n").isNotNull())
             .drop("__n", "__lo", "__width", _POS)
         )
@@ -258,7 +271,10 @@ class Ordered:
         return -first if self.descending else first
 
     def _hot_keys(self, keyed: DataFrame) -> DataFrame:
-        blocks = F.ceil(F.col("__n") / F.lit(self.hot_rows)) * F.lit(FINER)
+        if self.by_root:
+            blocks = F.ceil(F.sqrt("__n"))
+        else:
+            blocks = F.ceil(F.col("__n") / F.lit(self.hot_rows)) * F.lit(FINER)
         return (
             keyed.groupBy(_KEY)
             .agg(

@@ -337,7 +337,7 @@ def mode_span(spark, sf):
 )
 def id_audit(spark, sf):
     thinned = load(spark, sf, "orders").where("o_totalprice > 100000")
-    gaps = se.id_gaps(thinned, "o_orderkey", hot_rows=100_000)
+    gaps = se.id_gaps(thinned, "o_orderkey")
     repeats = se.id_repeats(load(spark, sf, "lineitem"), "l_orderkey")
     return gaps.select(F.lit("gap").alias("finding"), F.col("after").alias("id"), F.col("missing").alias("n")).unionByName(
         repeats.select(F.lit("repeat").alias("finding"), F.col("l_orderkey").alias("id"), F.col("rows").alias("n"))

@@ -463,7 +463,7 @@ def join_self(spark, sf):
 def sort_global(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     placed = sc.scan(
-        orders, [], ["o_totalprice", "o_orderkey"], descending=True, hot_rows=100_000, position=sc.row_number()
+        orders, [], ["o_totalprice", "o_orderkey"], descending=True, position=sc.row_number()
     )
     return placed.select("position", "o_orderkey").orderBy("position")
 
@@ -475,14 +475,12 @@ def sort_global(spark, sf):
 def sort_within(spark, sf):
     orders = load(spark, sf, "orders").select("o_custkey", "o_orderkey")
     placed = di.sorted_parts(orders, 16, ["o_custkey"], ["o_custkey", "o_orderkey"])
-    checked = di.sort_check(placed, ["o_custkey", "o_orderkey"]).agg(
+    together = di.facts(placed, "o_custkey").select("parts_per_key").scalar()
+    return di.sort_check(placed, ["o_custkey", "o_orderkey"]).agg(
         F.sum("rows").alias("rows"),
         F.sum("out_of_order").cast("int").alias("out_of_order"),
+        together.cast("int").alias("parts_per_key"),
     )
-    together = di.facts(placed, "o_custkey").select(
-        "rows", F.col("parts_per_key").cast("int").alias("parts_per_key")
-    )
-    return checked.join(together, "rows")
 
 
 @query(
@@ -537,13 +535,11 @@ def sample_bucket_random(spark, sf):
     """Bucket 3 out of 32 on a hash of the row: near 1/32 of the table."""
     orders = load(spark, sf, "orders").select("o_orderkey")
     taken = setops.sample_bucket(orders, 3, 32, F.xxhash64("o_orderkey"))
-    n = orders.agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("one"))
-    k = taken.agg(F.count(F.lit(1)).alias("k"), F.lit(1).alias("one"))
+    n = F.col("n")
     # five standard deviations of a 1/32 draw
-    spread = 5 * F.sqrt(F.col("n") * (1 / 32) * (31 / 32))
-    return n.join(k, "one").select(
-        "n", (F.abs(F.col("k") - F.col("n") / 32) <= spread).alias("near_share")
-    )
+    spread = 5 * F.sqrt(n * (1 / 32) * (31 / 32))
+    sizes = orders.agg(F.count(F.lit(1)).alias("n")).select("n", taken.agg(F.count(F.lit(1))).scalar().alias("k"))
+    return sizes.select("n", (F.abs(F.col("k") - n / 32) <= spread).alias("near_share"))
 
 
 @query("sample_rows", "SELECT least(count(*), 300) AS n FROM orders")

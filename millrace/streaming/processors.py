@@ -87,20 +87,22 @@ class IdleAlert(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         n, due = self.last.get() if self.last.exists() else (0, None)
-        before = due
+        now = (
+            timerValues.getCurrentProcessingTimeInMs()
+            if self.time_ms is None
+            else timerValues.getCurrentWatermarkInMs()
+        )
+        if due is not None:
+            self.handle.deleteTimer(due)
+            if due <= now:  # idle already, though rows are handled before timers
+                yield pd.DataFrame({self.key: [key[0]], "n": [n], "due_ms": [due]})
+                n, due = 0, None
         for batch in rows:
             n += len(batch)
-            if self.time_ms is None:
-                seen = timerValues.getCurrentProcessingTimeInMs()
-            else:
-                seen = int(batch[self.time_ms].max())
+            seen = now if self.time_ms is None else int(batch[self.time_ms].max())
             due = max(due or 0, seen + self.idle_ms)
-        if due != before:
-            if before is not None:
-                self.handle.deleteTimer(before)
-            self.handle.registerTimer(due)
+        self.handle.registerTimer(due)
         self.last.update((n, due))
-        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         n, due = self.last.get()
