@@ -50,13 +50,13 @@ def split_hot_aggregate(
     df: DataFrame,
     keys: Sequence[str],
     salt_from: Sequence[str],
-    limit: int,
+    at_most: int,
     salts: int,
     partial: Sequence[Column],
     final: Sequence[Column],
 ) -> DataFrame:
-    """Salt only the busy keys; the others keep one group and one step less work."""
-    hot = hot_keys(df, keys, limit).withColumn("__hot", F.lit(True))
+    """Salt only the keys with more than ``1 / at_most`` of all rows."""
+    hot = hot_keys(df, keys, at_most).withColumn("__hot", F.lit(True))
     tagged = df.join(F.broadcast(hot), list(keys), "left")
     busy = salted_aggregate(
         tagged.where("__hot").drop("__hot"), keys, salt_from, salts, partial, final

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def session_parts(spark: SparkSession) -> int:
+    """Number of parts the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def rebalance(df: DataFrame, parts: int) -> DataFrame:
     """Round robin: parts of nearly equal size."""
     return df.repartition(parts)

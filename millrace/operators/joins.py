@@ -11,11 +11,15 @@ from millrace.operators.scan import last_known, scan
 
 # Largest side that may be sent whole to every task.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 2**20
 
 
 def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``limit`` rows; reads no more than it must."""
-    return df.limit(limit + 1).count() <= limit
+    """True if ``df`` has at most ``limit`` rows and ``BROADCAST_BYTES`` of text;
+    reads no more than ``limit + 1`` rows to tell."""
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, text = df.limit(limit + 1).agg(F.count(F.lit(1)), size).first()
+    return rows <= limit and text <= BROADCAST_BYTES
 
 
 def lookup_join(
@@ -161,28 +165,32 @@ def asof_join(
     return found.where(F.col("__side") == 1).select("__left.*", "__seen.*")
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows: at most ``rows / limit`` of them."""
-    return (
-        df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).drop("__n")
-    )
+def hot_keys(df: DataFrame, on: Sequence[str], at_most: int) -> DataFrame:
+    """Keys that hold more than ``1 / at_most`` of all rows.
+
+    There cannot be more than ``at_most`` of them, whatever the table's size,
+    so the list may be broadcast.
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    return counts.where(F.col("__n") * at_most > total).drop("__n")
 
 
 def skew_split_join(
     facts: DataFrame,
     dimension: DataFrame,
     on: Sequence[str],
-    limit: int,
+    at_most: int = 1_000,
     how: str = "inner",
 ) -> DataFrame:
     """Join with a table unique on ``on`` where some fact keys are very busy.
 
-    Rows of busy keys meet a broadcast of just those dimension rows, which the
-    limit bounds; all other rows take the ordinary shuffle join.
+    Rows of busy keys (see :func:`hot_keys`) meet a broadcast of just those
+    dimension rows; all other rows take the ordinary shuffle join.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
-    hot = hot_keys(facts, on, limit)
+    hot = hot_keys(facts, on, at_most)
     tagged = facts.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), list(on), "left")
     hot_rows = tagged.where("__hot").drop("__hot")
     rest = tagged.where("__hot IS NULL").drop("__hot")

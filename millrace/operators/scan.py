@@ -240,12 +240,14 @@ class Ordered:
             # one key: its two numbers are constants, no join needed
             constants = {"__n": F.lit(1), "__lo": F.lit(found[0]), "__width": F.lit(found[1])}
             self._df = self._in_blocks(placed.withColumns(constants))
-        group = [_KEY, _BLOCK] if self.any_hot else [_KEY]
+        # Plain key columns let a second scan of the same keys skip the shuffle.
+        group = [_KEY, _BLOCK] if self.any_hot else list(keys) or [_KEY]
         order_by = [F.col(c).desc() if descending else F.col(c) for c in self.order]
         self.window = Window.partitionBy(*group).orderBy(*order_by)
         self.to_row = self.window.rowsBetween(_UNB, 0)
         self.to_peers = self.window.rangeBetween(_UNB, 0)
-        self.all_rows = Window.partitionBy(*group)
+        # ordered too, so that it shares the sort with the other frames
+        self.all_rows = self.window.rowsBetween(_UNB, _UNF)
 
     def _in_blocks(self, rows: DataFrame) -> DataFrame:
         block = (

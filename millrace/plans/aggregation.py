@@ -15,6 +15,10 @@ def rows():
     return F.count(F.lit(1))
 
 
+def _day_text(df):
+    return df.withColumn("day", day("day"))
+
+
 @query(
     "agg_basic",
     """SELECT l_returnflag, l_linestatus, round(avg(l_quantity), 6) AS avg_qty,
@@ -231,7 +235,7 @@ def agg_bitmap_distinct(spark, sf):
 )
 def agg_bitmap_rollup(spark, sf):
     """Daily bitmaps merged to the whole period, without the events."""
-    events = load(spark, sf, "events").withColumn("day", day("ts"))
+    events = load(spark, sf, "events").withColumn("day", F.to_date("ts"))
     daily = ds.bitmap_partials(events, ["day", "event_type"], "user_id")
     return ds.count_partials(ds.merge_partials(daily, ["event_type"]), ["event_type"], "users")
 
@@ -247,8 +251,8 @@ _STATUS_SQL = """SELECT day, CASE step WHEN 1 THEN 'view' WHEN 2 THEN 'click' WH
 
 @query("agg_status_sequence", _STATUS_SQL)
 def agg_status_sequence(spark, sf):
-    events = load(spark, sf, "events").withColumn("day", day("ts"))
-    return ds.furthest_status(events, ["day"], "user_id", "event_type", _SEQUENCE)
+    events = load(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    return _day_text(ds.furthest_status(events, ["day"], "user_id", "event_type", _SEQUENCE))
 
 
 @query(
@@ -256,11 +260,11 @@ def agg_status_sequence(spark, sf):
     f"SELECT day, string_agg(event_type || '=' || orders, ',' ORDER BY event_type) AS orders FROM ({_STATUS_SQL}) GROUP BY day",
 )
 def agg_status_map(spark, sf):
-    events = load(spark, sf, "events").withColumn("day", day("ts"))
+    events = load(spark, sf, "events").withColumn("day", F.to_date("ts"))
     counts = ds.furthest_status(events, ["day"], "user_id", "event_type", _SEQUENCE)
     entry = lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
     return ds.status_map(counts, ["day"], "event_type").select(
-        "day", F.concat_ws(",", F.transform(F.map_entries("orders"), entry)).alias("orders")
+        day("day").alias("day"), F.concat_ws(",", F.transform(F.map_entries("orders"), entry)).alias("orders")
     )
 
 
@@ -465,7 +469,7 @@ def agg_hot_split(spark, sf):
     events = load(spark, sf, "events").select("event_id", "user_id", money("value").alias("v"))
     partial = [rows().alias("n"), F.sum("v").alias("v")]
     final = [F.sum("n").alias("n"), F.sum("v").cast("double").alias("total")]
-    return ag.split_hot_aggregate(events, ["user_id"], ["event_id"], 70, 16, partial, final)
+    return ag.split_hot_aggregate(events, ["user_id"], ["event_id"], 140, 16, partial, final)
 
 
 @query(
@@ -473,8 +477,9 @@ def agg_hot_split(spark, sf):
     """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(DISTINCT user_id) AS uv FROM events GROUP BY 1, 2""",
 )
 def daily_uv(spark, sf):
-    events = load(spark, sf, "events").select(day("ts").alias("day"), "event_type", "user_id")
-    return ds.two_step_distinct(events, ["day", "event_type"], "user_id", "uv")
+    # days are grouped as dates, four bytes each, and become text at the end
+    events = load(spark, sf, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id")
+    return _day_text(ds.two_step_distinct(events, ["day", "event_type"], "user_id", "uv"))
 
 
 @query(
@@ -483,9 +488,9 @@ def daily_uv(spark, sf):
 )
 def daily_pv_dau(spark, sf):
     per_user = (
-        load(spark, sf, "events").groupBy(day("ts").alias("day"), "user_id").agg(rows().alias("n"))
+        load(spark, sf, "events").groupBy(F.to_date("ts").alias("day"), "user_id").agg(rows().alias("n"))
     )
-    return per_user.groupBy("day").agg(F.sum("n").alias("pv"), F.count("user_id").alias("dau"))
+    return _day_text(per_user.groupBy("day").agg(F.sum("n").alias("pv"), F.count("user_id").alias("dau")))
 
 
 @query(

@@ -316,7 +316,7 @@ _USER_DIM = "SELECT user_id, min(event_id) AS first_event FROM events GROUP BY u
 def join_skew_split(spark, sf):
     events = load(spark, sf, "events").select("event_id", "user_id")
     users = events.groupBy("user_id").agg(F.min("event_id").alias("first_event"))
-    return jn.skew_split_join(events, users, ["user_id"], limit=60)
+    return jn.skew_split_join(events, users, ["user_id"], at_most=150)
 
 
 @query(
@@ -474,7 +474,7 @@ def sort_global(spark, sf):
 )
 def sort_within(spark, sf):
     orders = load(spark, sf, "orders").select("o_custkey", "o_orderkey")
-    placed = di.sorted_parts(orders, 16, ["o_custkey"], ["o_custkey", "o_orderkey"])
+    placed = di.sorted_parts(orders, di.session_parts(spark), ["o_custkey"], ["o_custkey", "o_orderkey"])
     together = di.facts(placed, "o_custkey").select("parts_per_key").scalar()
     return di.sort_check(placed, ["o_custkey", "o_orderkey"]).agg(
         F.sum("rows").alias("rows"),
@@ -624,7 +624,7 @@ def merge_sorted_distinct(spark, sf):
 )
 def dist_properties(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    parts = 8
+    parts = di.session_parts(spark)
     even = F.col("spread") <= F.greatest(F.lit(64), F.col("rows") / parts * 0.2)
     alone = F.col("parts_per_key") == 1
     unknown = F.lit(None).cast("boolean")
@@ -633,7 +633,7 @@ def dist_properties(spark, sf):
         "key_by": (di.key_by(orders, parts, "o_custkey"), unknown, alone),
         "range": (di.range_by(orders, parts, "o_custkey"), unknown, alone),
         "rebalance": (di.rebalance(orders, parts), even, unknown),
-        "rescale": (di.rescale(di.rebalance(orders, parts), 4), unknown, unknown),
+        "rescale": (di.rescale(di.rebalance(orders, parts), max(parts // 2, 1)), unknown, unknown),
         "shuffle": (di.shuffle(orders, parts, ["o_orderkey"]), even, unknown),
     }
     rows = None

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from millrace.operators.distribution import session_parts
 from millrace.plans.registry import query
 from millrace.session import work_dir
 from millrace.sources import layout as ly
@@ -88,7 +89,7 @@ def io_gzip_roundtrip(spark, sf):
     _, path = _new(spark, "gzip")
     rows = load(spark, sf, "orders").select(F.concat_ws("|", "o_orderkey", "o_orderstatus").alias("line"))
     rc.write_text(rows, path, "gzip")
-    return rc.read_gzip_lines(spark, path, parts=8).select(F.col("value").alias("line"))
+    return rc.read_gzip_lines(spark, path, parts=session_parts(spark)).select(F.col("value").alias("line"))
 
 
 @query("ddl_ctas", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
@@ -175,8 +176,10 @@ def ddl_bucketed_join(spark, sf):
     lines_table, lines_path = _new(spark, "bucket_lines")
     orders = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     lines = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
-    ly.write_bucketed(orders, orders_table, orders_path, 16, ["o_orderkey"])
-    ly.write_bucketed(lines, lines_table, lines_path, 16, ["o_orderkey"])
+    # both tables need the same number, so the larger one decides
+    buckets = ly.buckets_for(lines.count())
+    ly.write_bucketed(orders, orders_table, orders_path, buckets, ["o_orderkey"])
+    ly.write_bucketed(lines, lines_table, lines_path, buckets, ["o_orderkey"])
     return (
         spark.table(orders_table)
         .hint("merge")

@@ -61,6 +61,11 @@ def overwrite_touched(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def buckets_for(rows: int, rows_per_bucket: int = 5_000_000, least: int = 16) -> int:
+    """Number of buckets that keeps each one a task's size."""
+    return max(least, -(-rows // rows_per_bucket))
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, by: Sequence[str]) -> None:
     """Rows hashed to ``buckets`` files by key and sorted: joins on the key of
     two such tables need no shuffle."""
