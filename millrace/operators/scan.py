@@ -12,7 +12,8 @@ more than ``hot_rows`` rows is cut into blocks along its first order column:
    the summaries and add what the earlier blocks contribute.
 
 The result equals the plain window, ties included: rows with equal order value
-fall into the same block.
+fall into the same block. An order value that alone holds too many rows is cut
+again along the second order column.
 """
 
 from __future__ import annotations
@@ -226,7 +227,7 @@ class Ordered:
         # A struct is never null itself, and structs with equal null fields are equal.
         # Without keys the whole table is one key.
         key = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("all"))
-        position = self._position(df.schema[self.order[0]].dataType)
+        position = self._position(self.order[0], df.schema[self.order[0]].dataType)
         keyed = df.withColumn(_KEY, key)
         placed = keyed.withColumn(_POS, position)
         hot = self._hot_keys(placed)
@@ -240,6 +241,9 @@ class Ordered:
             # one key: its two numbers are constants, no join needed
             constants = {"__n": F.lit(1), "__lo": F.lit(found[0]), "__width": F.lit(found[1])}
             self._df = self._in_blocks(placed.withColumns(constants))
+        if self.any_hot and len(self.order) > 1:
+            self._df = self._cut_ties(self._df, df.schema[self.order[1]].dataType)
+        self._df = self._df.drop(_POS)
         # Plain key columns let a second scan of the same keys skip the shuffle.
         group = [_KEY, _BLOCK] if self.any_hot else list(keys) or [_KEY]
         order_by = [F.col(c).desc() if descending else F.col(c) for c in self.order]
@@ -260,15 +264,56 @@ class Ordered:
         return (
             rows.withColumn(_BLOCK, block.cast("long"))
             .withColumn("__is_hot", F.col("__n").isNotNull())
-            .drop("__n", "__lo", "__width", _POS)
+            .drop("__n", "__lo", "__width")
         )
 
-    def _position(self, kind: T.DataType) -> Column:
-        first = F.col(self.order[0])
+    def _cut_ties(self, rows: DataFrame, kind: T.DataType) -> DataFrame:
+        """Cut order values that alone exceed the limit along the second order
+        column. There are at most ``rows / hot_rows`` such values."""
+        try:
+            second = self._position(self.order[1], kind)
+        except TypeError:
+            return rows
+        limit = max(self.hot_rows, HOT_ROWS) if self.by_root else self.hot_rows
+        pieces = F.ceil(F.col("n") / F.lit(limit)) * F.lit(FINER)
+        busy = (
+            rows.where("__is_hot")
+            .groupBy(_KEY, _BLOCK, F.col(_POS).alias("at"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(second).alias("lo"), F.max(second).alias("hi"))
+            .where(F.col("n") > limit)
+            .withColumn("width", (F.col("hi") - F.col("lo")) / pieces)
+        )
+        if busy.isEmpty():
+            return rows
+        per_block = busy.groupBy(_KEY, _BLOCK).agg(F.collect_list(F.struct("at", "lo", "width")).alias("__busy"))
+        values = F.coalesce("__busy", F.array().cast("array<struct<at:double,lo:double,width:double>>"))
+        at = F.col(_POS)
+        below = F.size(F.filter(values, lambda b: b["at"] < at))
+        own = F.get(F.filter(values, lambda b: b["at"].eqNullSafe(at)), F.lit(0))
+        piece = (
+            F.when(~(own["width"] > 0) | own["width"].isNull(), F.lit(0))
+            .when(second.isNull(), F.lit(2**62 if self.descending else -1))
+            .otherwise(F.floor((second - own["lo"]) / own["width"]))
+        )
+        parts = F.struct(
+            F.col(_BLOCK).alias("block"),
+            # rows before, at and after each busy value
+            (below * 2 + own.isNotNull().cast("int")).alias("tie"),
+            piece.cast("long").alias("piece"),
+        )
+        return (
+            rows.join(F.broadcast(per_block), [_KEY, _BLOCK], "left")
+            .withColumn(_BLOCK, parts)
+            .drop("__busy")
+        )
+
+    def _position(self, column: str, kind: T.DataType) -> Column:
+        """Order value as a number that grows in scan order."""
+        first = F.col(column)
         if isinstance(kind, (T.DateType, T.TimestampNTZType)):
             first = first.cast("timestamp")
         elif not isinstance(kind, (T.NumericType, T.TimestampType)):
-            raise TypeError(f"first order column {self.order[0]!r} must be a number or a time")
+            raise TypeError(f"order column {column!r} must be a number or a time to cut along it")
         first = first.cast("double")
         return -first if self.descending else first
 

@@ -36,7 +36,7 @@ class RunningCount(StatefulProcessor):
         self.count = handle.getValueState("count", _COUNT, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = self.count.get()[0] if self.count.exists() else 0
+        n = (self.count.get() or (0,))[0]
         for batch in rows:
             out = batch[list(self.keep)].reset_index(drop=True)
             out["n"] = range(n + 1, n + len(batch) + 1)
@@ -86,7 +86,7 @@ class IdleAlert(StatefulProcessor):
         self.last = handle.getValueState("last", _LAST)
 
     def handleInputRows(self, key, rows, timerValues):
-        n, due = self.last.get() if self.last.exists() else (0, None)
+        n, due = self.last.get() or (0, None)
         now = (
             timerValues.getCurrentProcessingTimeInMs()
             if self.time_ms is None
@@ -124,7 +124,7 @@ class CountWindow(StatefulProcessor):
         self.open = handle.getValueState("open", schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        n, total = self.open.get() if self.open.exists() else (0, 0.0)
+        n, total = self.open.get() or (0, 0.0)
         for batch in rows:
             place = pd.Series(range(n, n + len(batch)), dtype="int64") // self.size
             value = batch[self.value].reset_index(drop=True)
@@ -157,7 +157,7 @@ class ControlGate(StatefulProcessor):
         self.gate = handle.getValueState("gate", _FLAG)
 
     def handleInputRows(self, key, rows, timerValues):
-        is_open = self.gate.get()[0] if self.gate.exists() else self.open_first
+        is_open = (self.gate.get() or (self.open_first,))[0]
         for batch in rows:
             signal = batch[self.control].astype("boolean")
             state = signal.ffill().fillna(is_open).astype(bool)

@@ -75,6 +75,30 @@ def test_rows_up_to_here(skewed, hot_rows):
     assert rows(got, *want.columns) == rows(want, *want.columns)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_busy_order_values_are_cut_by_the_second_column(spark, descending):
+    i = F.col("id")
+    df = spark.range(400).select(
+        i,
+        F.when(i % 10 == 0, F.lit(None)).otherwise(i % 2).alias("k"),
+        # most rows at time 5, some before and after, some without a time
+        F.when(i % 9 == 0, i % 11).when(i % 31 != 0, F.lit(5)).alias("t"),
+        F.when(i % 17 != 0, F.pmod(F.xxhash64(i), F.lit(60))).alias("u"),
+        F.pmod(F.xxhash64(i, F.lit(3)), F.lit(1000)).alias("v"),
+    )
+    order = [F.desc(c) if descending else F.col(c) for c in ("t", "u", "id")]
+    w = Window.partitionBy("k").orderBy(*order)
+    ordered = sc.Ordered(df, ["k"], ["t", "u", "id"], descending, hot_rows=25)
+    ordered.add(rn=sc.row_number(), s=sc.running_sum("v"), p=sc.previous("v"), f=sc.following("v"))
+    want = df.select(
+        "id", F.row_number().over(w).alias("rn"), F.sum("v").over(w.rowsBetween(UNB, 0)).alias("s"),
+        F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("f"),
+    )
+    assert rows(ordered.frame(), *want.columns) == rows(want, *want.columns)
+    sizes = ordered._df.where("__is_hot").groupBy("__key", "__block").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 40
+
+
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("hot_rows", [10, 50, 10**6])
 def test_ranks_with_ties(skewed, hot_rows, descending):
