@@ -53,6 +53,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
+            "spark.python.unix.domain.socket.enabled": "true",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

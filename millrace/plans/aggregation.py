@@ -8,7 +8,7 @@ from millrace.operators import aggregates as ag
 from millrace.operators import distinct as ds
 from millrace.operators import textjobs as tj
 from millrace.plans.registry import query
-from millrace.sources.tables import day, load, money
+from millrace.sources.tables import day, load, money, spread
 
 
 def rows():
@@ -392,7 +392,7 @@ def agg_having(spark, sf):
        WHERE word <> '' GROUP BY word""",
 )
 def word_count(spark, sf):
-    return tj.word_count(load(spark, sf, "documents"), "text")
+    return tj.word_count(spread(load(spark, sf, "documents").select("text")), "text")
 
 
 _FLAGS = ["l_returnflag", "l_linestatus"]

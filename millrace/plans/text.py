@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import textjobs as tj
 from millrace.plans.registry import query
-from millrace.sources.tables import load
+from millrace.sources.tables import load, spread
 
 _TERMS = """SELECT DISTINCT unnest(string_split(p_name, ' ')) AS term FROM part
             UNION SELECT DISTINCT lower(c_mktsegment) FROM customer"""
@@ -64,7 +64,7 @@ def _query_log(spark, sf):
         for t in _LOG_TEXTS
     ]
     shape = (F.col("o_orderkey") % len(shapes) + 1).cast("int")
-    return load(spark, sf, "orders").select(
+    return spread(load(spark, sf, "orders").select("o_orderkey")).select(
         F.col("o_orderkey").alias("query_id"), F.element_at(F.array(*shapes), shape).alias("sql")
     )
 
@@ -124,7 +124,7 @@ _WORDS = r"""(SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_arr
               min(word) AS first_word, max(word) AS last_word FROM {_WORDS} GROUP BY 1 HAVING count(*) > 1""",
 )
 def anagram_groups(spark, sf):
-    counts = tj.word_count(load(spark, sf, "documents").select("text"), "text")
+    counts = tj.word_count(spread(load(spark, sf, "documents").select("text")), "text")
     return tj.anagram_groups(counts, "word", "n")
 
 

@@ -17,6 +17,14 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(table_path(folder, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For work that is heavy per row: if the input has fewer parts than there
+    are cores (a few small files), deal its rows out to all of them. A large
+    input has more parts than cores and stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_event_time(df: DataFrame, column: str = "ts") -> DataFrame:
     """Cast a zone-less timestamp so that it can carry a watermark."""
     return df.withColumn(column, F.col(column).cast("timestamp"))
