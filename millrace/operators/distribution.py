@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,8 +74,6 @@ def sort_check(df: DataFrame, order: Sequence[str]) -> DataFrame:
                 wrong += last is not None and value < last
                 last = value
             rows += len(values)
-        import pandas as pd
-
         yield pd.DataFrame({"rows": [rows], "out_of_order": [wrong]})
 
     return df.select(*order).mapInPandas(check, "rows long, out_of_order long")

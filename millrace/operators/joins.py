@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.scan import last_known, scan
+from millrace.operators.scan import last_known, running_sum, scan
 
 # Largest side that may be sent whole to every task.
 BROADCAST_ROWS = 100_000
@@ -60,8 +60,6 @@ def count_above(
     The inequality join of two large tables, counted without forming pairs:
     one running count over both sides in descending order.
     """
-    from millrace.operators.scan import running_sum
-
     columns = left.columns
     both = left.select(
         F.struct(*columns).alias("__left"), value, F.lit(0).cast("long").alias("__right")
