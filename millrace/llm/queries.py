@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import token_store, tokens
+from millrace.llm import (
+    circulant_minhash,
+    decontaminate,
+    mtree,
+    poisson_mix,
+    pseudonyms,
+    slots,
+    suffix_repeats,
+    token_store,
+    tokens,
+    toxicity,
+)
 from millrace.session import work_dir
 from millrace.sources.tables import load
 
@@ -31,6 +42,46 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_repeats")
+def op1_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_repeats.without_repeats(load(spark, folder, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_mtree_top_k")
+def op2_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.search(load(spark, folder, "embeddings"), k=5, every=50, scale=256)
+
+
+@query("op3_virtual_slots")
+def op3_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
+    placed = slots.assign(load(spark, folder, "documents"), work_dir(spark, "slots"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+#: Key of the registered query; a real run takes its own from a secret store.
+PSEUDONYM_KEY = "registered-query-key"
+
+
+@query("op4_feistel_pseudonyms")
+def op4_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+
+
+@query("op5_poisson_mix")
+def op5_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return poisson_mix.mix(load(spark, folder, "documents"), seed=17, temperature=0.7)
+
+
 @query("op6_prefix_token_counts")
 def op6_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
@@ -44,3 +95,18 @@ def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     token_store.write_tokens(load(spark, folder, "documents"), tokenizer_file(), path, end_id=1)
     found = token_store.read_tokens(spark, path)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").cast("long").alias("ids_crc32"))
+
+
+@query("op8_rare_word_windows")
+def op8_rare_word_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(load(spark, folder, "documents"), load(spark, folder, "benchmark"), size=10)
+
+
+@query("op9_circulant_minhash")
+def op9_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(load(spark, folder, "documents"), percent=85)
+
+
+@query("op10_counterfactual_toxicity")
+def op10_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(load(spark, folder, "documents"), load(spark, folder, "labels"))
