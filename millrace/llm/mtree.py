@@ -221,8 +221,8 @@ class _Tree:
         self.queries = np.flatnonzero(row["is_query"])
         self.starts = np.array(row["starts"])
         self.node_starts = np.array(row["node_starts"])
-        self.page_center = np.frombuffer(row["page_center"], np.int64).reshape(-1, d)
-        self.node_center = np.frombuffer(row["node_center"], np.int64).reshape(-1, d)
+        self.page_center = np.frombuffer(row["page_center"], np.int64).reshape(len(self.starts), d)
+        self.node_center = np.frombuffer(row["node_center"], np.int64).reshape(len(self.node_starts), d)
         for name in ("page_radius", "page_parent", "entry_parent", "node_radius"):
             setattr(self, name, np.frombuffer(row[name], np.float64))
         self.least_id = [int(self.ids[s : s + PAGE].min()) for s in self.starts]

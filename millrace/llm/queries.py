@@ -11,6 +11,7 @@ from millrace.llm import (
     circulant_minhash,
     decontaminate,
     mtree,
+    oracles,
     poisson_mix,
     pseudonyms,
     slots,
@@ -48,7 +49,7 @@ def op1_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op2_mtree_top_k")
+@query("op2_mtree_top_k", oracles.TOP_K)
 def op2_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return mtree.search(load(spark, folder, "embeddings"), k=5, every=50, scale=256)
 
@@ -77,7 +78,7 @@ def op4_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
 
 
-@query("op5_poisson_mix")
+@query("op5_poisson_mix", oracles.MIX)
 def op5_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return poisson_mix.mix(load(spark, folder, "documents"), seed=17, temperature=0.7)
 
@@ -97,12 +98,12 @@ def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").cast("long").alias("ids_crc32"))
 
 
-@query("op8_rare_word_windows")
+@query("op8_rare_word_windows", oracles.CONTAMINATION)
 def op8_rare_word_windows(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(load(spark, folder, "documents"), load(spark, folder, "benchmark"), size=10)
 
 
-@query("op9_circulant_minhash")
+@query("op9_circulant_minhash", oracles.NEAR_DUPLICATES)
 def op9_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return circulant_minhash.near_duplicates(load(spark, folder, "documents"), percent=85)
 

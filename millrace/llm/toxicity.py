@@ -14,6 +14,7 @@ texts are scored in tasks with the model's few thousand weights.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,9 +32,12 @@ from millrace.llm.texts import OWN, require
 PER_CLASS = 6_000
 FOLDS = 5
 FEATURE_BITS = 20
-SPARSITY = 2e-4
+SPARSITY = 3e-5
 FAIRNESS = 5.0
-ITERATIONS = 400
+ITERATIONS = 300
+STEP = 0.5
+#: A feature takes part if it leans to one class by so many standard deviations.
+LEAST_LEAN, LEAST_TEXTS = 2.5, 3
 KEPT_WORDS = 500_000
 
 # Names of groups of people, and a neutral word for each kind.
@@ -59,9 +63,15 @@ def words_of(text: str) -> set[str]:
 
 
 def features_of(word: str) -> list[int]:
-    """Hashed features of a word: itself and its first four and five letters."""
+    """Hashed features of a word: itself and its first four to eight letters."""
     mask = (1 << FEATURE_BITS) - 1
-    return [zlib.crc32(f.encode()) & mask for f in ("w " + word, "4 " + word[:4], "5 " + word[:5])]
+    parts = ["w " + word, *[f"{n} {word[:n]}" for n in range(4, 9) if len(word) >= n]]
+    return [zlib.crc32(f.encode()) & mask for f in parts]
+
+
+def features_in(words: set[str]) -> list[int]:
+    """Distinct features of a text."""
+    return sorted({f for w in words for f in features_of(w)})
 
 
 def swapped(words: set[str], shift: int) -> set[str] | None:
@@ -83,16 +93,19 @@ class Model:
     bias: float
     weights: dict[int, float]
 
-    def score_words(self, words: set[str], known: dict[str, float]) -> float:
-        total = self.bias
+    def score_words(self, words: set[str], known: dict[str, tuple]) -> float:
+        """``known`` keeps the weighted features of words met before."""
+        present: set[int] = set()
         for w in words:
             s = known.get(w)
             if s is None:
                 if len(known) > KEPT_WORDS:
                     known.clear()
-                s = known[w] = sum(self.weights.get(f, 0.0) for f in features_of(w))
-            total += s
-        return 1.0 / (1.0 + np.exp(-min(max(total, -60.0), 60.0)))
+                s = known[w] = tuple(f for f in features_of(w) if f in self.weights)
+            if s:
+                present.update(s)
+        total = self.bias + sum(self.weights[f] for f in sorted(present))
+        return 1.0 / (1.0 + math.exp(-min(max(total, -60.0), 60.0)))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
@@ -124,15 +137,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
             cols: list[list] = [[], [], []]
             for text in batch.column(2):
                 words = words_of(text.as_py() or "")
-                features = [f for w in words for f in features_of(w)]
+                features = features_in(words)
                 changed, change = [], []
                 other = swapped(words, 1 + len(words) % 3)
                 if other is not None:
-                    for these, sign in ((words - other, 1), (other - words, -1)):
-                        for w in these:
-                            for f in features_of(w):
-                                changed.append(f)
-                                change.append(sign)
+                    mine, theirs = set(features), set(features_in(other))
+                    changed = sorted(mine ^ theirs)
+                    change = [1 if f in mine else -1 for f in changed]
                 for col, v in zip(cols, (features, changed, change)):
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
@@ -145,9 +156,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 
 
 def fit(rows: DataFrame, sparsity: float = SPARSITY, fairness: float = FAIRNESS) -> Model:
-    """Fit the weights by proximal gradient steps (logistic loss, L1, and the
-    squared change of the score under swaps). Without labelled texts, or with
-    one class only, the model is constant."""
+    """Fit the weights by proximal steps, scaled for each feature by its past
+    gradients: logistic loss, L1, and the squared change of the score under
+    swaps. Without labelled texts, or with one class only, the model is constant."""
     data = rows.toArrow()
     y = data["toxic"].to_numpy().astype(np.float64)
     c = data["weight"].to_numpy().astype(np.float64)
@@ -160,47 +171,36 @@ def fit(rows: DataFrame, sparsity: float = SPARSITY, fairness: float = FAIRNESS)
         return Model(bias, {})
     flat, owner = _flat(data["features"])
     size = 1 << FEATURE_BITS
-    # Features that cannot leave zero in the first steps, or are too rare, are left out.
-    pull = np.abs(np.bincount(flat, weights=(c * (y - base))[owner], minlength=size))
+    # Only features whose share of toxic texts differs clearly from the average.
+    spread = np.sqrt((c**2).sum() * base * (1 - base))
+    mass = np.bincount(flat, weights=c[owner], minlength=size)
+    toxic = np.bincount(flat, weights=(c * y)[owner], minlength=size)
     seen = np.bincount(flat, minlength=size)
-    kept = np.flatnonzero((pull > sparsity / 2) & (seen >= 3))
+    lean = np.abs(toxic - mass * base) / (spread * np.sqrt(np.maximum(mass, 1e-12)))
+    kept = np.flatnonzero((lean > LEAST_LEAN) & (seen >= LEAST_TEXTS))
     place = np.full(size, -1)
     place[kept] = np.arange(len(kept))
     flat, owner = _only(place, flat, owner)
     changed, pair = _flat(data["changed"])
     change = _flat(data["change"])[0].astype(np.float64)
-    inside = place[changed] >= 0 if len(changed) else np.empty(0, dtype=bool)
+    inside = place[changed] >= 0
     changed, pair, change = place[changed[inside]], pair[inside], change[inside]
 
-    w, b, last, t = np.zeros(len(kept)), bias, np.zeros(len(kept)), 1.0
-    # the step fits the largest curvature, estimated by a few power iterations
-    v = np.ones(len(kept))
-    curve = 1.0
-    for _ in range(10):
-        u = np.bincount(owner, weights=v[flat], minlength=len(y)) * c * 0.25
-        v = np.bincount(flat, weights=u[owner], minlength=len(kept))
-        if len(changed):
-            d = np.bincount(pair, weights=(w + 1)[changed] * change, minlength=len(y)) * c
-            v = v + 2 * fairness * np.bincount(changed, weights=d[pair] * change, minlength=len(kept))
-        curve = max(float(np.linalg.norm(v)), 1e-9)
-        v = v / curve
-    step = 0.5 / curve
-    ahead = w
+    w, past, past_bias = np.zeros(len(kept)), np.full(len(kept), 1e-12), 1e-12
     for _ in range(ITERATIONS):
-        z = np.bincount(owner, weights=ahead[flat], minlength=len(y)) + b
+        z = np.bincount(owner, weights=w[flat], minlength=len(y)) + bias
         r = c * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y)
         g = np.bincount(flat, weights=r[owner], minlength=len(kept))
         if len(changed):
-            d = np.bincount(pair, weights=ahead[changed] * change, minlength=len(y)) * c
+            d = np.bincount(pair, weights=w[changed] * change, minlength=len(y)) * c
             g = g + 2 * fairness * np.bincount(changed, weights=d[pair] * change, minlength=len(kept))
-        new = ahead - step * g
-        new = np.sign(new) * np.maximum(np.abs(new) - step * sparsity, 0)
-        b -= min(step, 2.0) * r.sum()
-        t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        ahead = new + (before - 1) / t * (new - last)
-        last = new
-    used = np.flatnonzero(last)
-    return Model(float(b), {int(kept[i]): float(last[i]) for i in used})
+        past += g * g
+        past_bias += r.sum() ** 2
+        step = STEP / np.sqrt(past)
+        w = w - step * g
+        w = np.sign(w) * np.maximum(np.abs(w) - step * sparsity, 0)
+        bias -= float(STEP * r.sum() / np.sqrt(past_bias))
+    return Model(bias, {int(kept[i]): float(w[i]) for i in np.flatnonzero(w)})
 
 
 def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +232,7 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
+        known: dict[str, tuple] = {}
         for batch in batches:
             scores = [model.score_words(words_of(t.as_py() or ""), known) for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays(
