@@ -13,8 +13,9 @@ a circular shift of ``k`` for coordinate ``k``. Then:
 5. buckets that still hold several components are searched for further links
    between these components, in blocks of bounded size.
 
-A link at the threshold of 0.85 misses all 40 bands of 6 coordinates, or falls
-below ``LEAST_AGREEMENT`` of the 240 coordinates, with a probability under 1e-8.
+A link just at the threshold of 0.85 misses all 40 bands of 6 coordinates with a
+probability of 6e-9 (at 0.80 of 5e-6), or agrees in too few of the 240 with one
+of about 1e-8 (:func:`least_agreement`).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -37,9 +38,9 @@ SHINGLE = 5
 BANDS, ROWS = 40, 6
 COORDINATES = BANDS * ROWS
 DOMAIN_BITS = 20
-LEAST_AGREEMENT = 0.67
-#: Nodes of a bucket that are compared with another such block at a time.
-BLOCK = 512
+#: Nodes of a bucket, and bytes of their packed texts, that are compared with
+#: another such block at a time.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK_WORDS = 50_000
@@ -155,8 +156,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id and compressed text of the given nodes, one row each."""
+def _texts(docs: DataFrame, ids: DataFrame, nodes: DataFrame) -> DataFrame:
+    """id and compressed text of the given nodes, one row each, stored."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
@@ -164,15 +165,27 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             packed = [packer.compress((t.as_py() or "").encode()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "z"])
 
-    wanted = nodes.select("id", "key")
+    wanted = written(docs.sparkSession, ids.distinct().join(nodes.select("id", "key"), "id"), "wanted")
     rows = docs.select(content_key().alias("key"), "text")
     found = lookup_join(rows, wanted, ["key"], "inner").select("id", "text")
-    return found.mapInArrow(pack, "id long, z binary").groupBy("id").agg(F.first("z").alias("z"))
+    packed = found.mapInArrow(pack, "id long, z binary").groupBy("id").agg(F.first("z").alias("z"))
+    return written(docs.sparkSession, packed, "texts")
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def least_agreement(percent: int) -> int:
+    """Coordinates in which two sets at the threshold agree at least, 5.6
+    standard deviations below the mean."""
+    p = percent / 100
+    return int(COORDINATES * p - 5.6 * (COORDINATES * p * (1 - p)) ** 0.5)
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _agreeing(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) whose signatures agree in enough coordinates."""
-    least = int(LEAST_AGREEMENT * COORDINATES)
     slim = nodes.select("id", "agree")
     both = pairs.join(slim.select(F.col("id").alias("b"), F.col("agree").alias("of_b")), "b").join(
         slim.select(F.col("id").alias("a"), F.col("agree").alias("of_a")), "a"
@@ -205,55 +218,88 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for a, left, right in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
                 if of_a[0] != a:  # the pairs of a star come one after the other
                     of_a = (a, shingle_set(unpacker.decompress(left.as_py())))
-                other = shingle_set(unpacker.decompress(right.as_py()))
-                common = len(np.intersect1d(of_a[1], other, assume_unique=True))
-                keep.append(100 * common >= percent * (len(of_a[1]) + len(other) - common))
+                keep.append(_linked(of_a[1], shingle_set(unpacker.decompress(right.as_py())), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _between_components(placed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Agreeing pairs in one bucket whose nodes have different labels.
+def _between_components(placed: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of one bucket that have different labels.
 
     ``placed``: band, id, label of buckets with several labels. Nodes outside
     the bucket's most frequent label meet all nodes of the bucket, block by
-    block: no row holds more than two blocks of bounded size."""
-    sizes = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    block: no row holds more than two blocks of bounded size. A pair that shares
+    several buckets is compared in the first one, and not at all if links found
+    in the block already join the two labels. Links come out, never pairs."""
+    entries = (
+        placed.join(nodes.select("id", "bands", "agree"), "id")
+        .join(texts, "id")
+        .withColumn("size", F.octet_length("z").cast("long"))
+    )
+    sizes = entries.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     main = sizes.groupBy("band").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"),
-        F.sum("n").alias("total"),
-        (F.sum("n") - F.max("n")).alias("others"),
+        _blocks(F.sum("n"), F.sum("size")).alias("all_blocks"),
+        # all but the most frequent label
+        _blocks(F.sum("n") - F.max("n"), F.sum("size")).alias("few_blocks"),
     )
-    rows = placed.join(main, "band").join(nodes.select("id", "agree"), "id")
-    entry = F.struct("id", "label", "agree")
+    rows = entries.join(main, "band")
+    entry = F.struct("id", "label", "agree", "bands", "z")
 
-    def blocks(df: DataFrame, size: str, name: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.ceil(F.col(size) / BLOCK).cast("long"))
+    def gathered(df: DataFrame, blocks: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col(blocks))
         return df.groupBy("band", block.alias("block")).agg(F.collect_list(entry).alias(name)).drop("block")
 
-    meeting = blocks(rows.where("label <> main"), "others", "few").join(blocks(rows, "total", "all"), "band")
-    least = int(LEAST_AGREEMENT * COORDINATES)
+    meeting = gathered(rows.where("label <> main"), "few_blocks", "few").join(gathered(rows, "all_blocks", "all"), "band")
+    least = least_agreement(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts(rows):
-            ids = np.array([r["id"] for r in rows], dtype=np.int64)
-            labels = np.array([r["label"] for r in rows], dtype=np.int64)
-            return ids, labels, np.frombuffer(b"".join(r["agree"] for r in rows), np.uint8).reshape(-1, COORDINATES)
+        unpacker = zstandard.ZstdDecompressor()
+
+        class Block:
+            def __init__(self, rows: list[dict]) -> None:
+                self.ids = [r["id"] for r in rows]
+                self.labels = np.array([r["label"] for r in rows], dtype=np.int64)
+                self.agree = np.frombuffer(b"".join(r["agree"] for r in rows), np.uint8).reshape(-1, COORDINATES)
+                self.bands = np.array([r["bands"] for r in rows], dtype=np.int64)
+                self.packed = [r["z"] for r in rows]
+                self.sets: dict[int, np.ndarray] = {}
+
+            def set(self, i: int) -> np.ndarray:
+                if i not in self.sets:
+                    self.sets[i] = shingle_set(unpacker.decompress(self.packed[i]))
+                return self.sets[i]
+
+        def links(band: int, few: Block, every: Block) -> Iterator[tuple[int, int]]:
+            joined: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while joined.get(x, x) != x:
+                    x = joined[x]
+                return x
+
+            for i, label in enumerate(few.labels.tolist()):
+                close = (every.agree == few.agree[i]).sum(axis=1) >= least
+                for j in np.flatnonzero(close & (every.labels != label)).tolist():
+                    x, y = root(label), root(int(every.labels[j]))
+                    first = int((few.bands[i] == every.bands[j]).argmax())
+                    if x != y and few.bands[i][first] == band and _linked(few.set(i), every.set(j), percent):
+                        joined[max(x, y)] = min(x, y)
+                        yield tuple(sorted((few.ids[i], every.ids[j])))
 
         for batch in batches:
-            for few, everyone in zip(batch.column(0), batch.column(1)):
-                (i1, l1, s1), (i2, l2, s2) = parts(few.as_py()), parts(everyone.as_py())
-                out_a, out_b = [], []
-                for i, label, s in zip(i1, l1, s1):
-                    at = np.flatnonzero((l2 != label) & ((s2 == s).sum(axis=1) >= least))
-                    out_a.append(np.minimum(i2[at], i))
-                    out_b.append(np.maximum(i2[at], i))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"]
-                )
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                found = list(links(row["band"], Block(row["few"]), Block(row["all"])))
+                columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return meeting.select("band", "few", "all").mapInArrow(run, "a long, b long").distinct()
 
-    return meeting.select("few", "all").mapInArrow(run, "a long, b long").distinct()
+
+def _blocks(n: Column, size: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES))).cast("long")
 
 
 def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -276,16 +322,18 @@ def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     shared = in_band.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last")
     buckets = written(spark, in_band.join(shared.select("band", "a"), "band").select("band", "a", "id"), "buckets")
     stars = buckets.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    pairs = written(spark, _agreeing(stars, nodes), "pairs")
-    links = written(spark, _confirm(docs, pairs, nodes, percent), "links")
+    pairs = written(spark, _agreeing(stars, nodes, least_agreement(percent)), "pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    links = written(spark, _confirmed(pairs, _texts(docs, involved, nodes), percent), "links")
     labels = components(links)
 
     labelled = buckets.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     placed = written(spark, labelled.join(mixed.select("band"), "band"), "mixed")
-    more = written(spark, _between_components(placed, nodes).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    texts = _texts(docs, placed.select("id"), nodes)
+    more = written(spark, _between_components(placed, nodes, texts, percent), "links")
     if not more.isEmpty():
-        labels = components(links.unionByName(_confirm(docs, more, nodes, percent)))
+        labels = components(links.unionByName(more))
 
     labels = written(spark, nodes.select("node", "id", "low").join(labels, "id", "left"), "labels")
     return rows, labels.withColumn("label", F.coalesce("label", "id"))
@@ -312,12 +360,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = written(docs.sparkSession, _texts(docs, ids.join(nodes.select("id", "key"), "id")), "texts")
-    return _confirmed(pairs, texts, percent)
-
-
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, columns as they
     are: the row with the smallest doc_id, of several such rows one. Rows
