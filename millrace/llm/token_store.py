@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from millrace.llm.texts import require, text_or_empty
 from millrace.llm.tokens import segments_of
 
-#: The dictionary is fitted on this many documents (the smallest by hash of the
-#: row), of each at most so many characters. It changes sizes, never contents.
+#: The dictionary is fitted on about this many documents (chosen by hash), of
+#: each at most so many characters. It changes sizes, never contents.
 SAMPLE_DOCS, SAMPLE_CHARS = 1_000, 8_192
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4_096
@@ -47,14 +47,12 @@ def _ids(segments, text: str, end_id: int) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes:
     """A Zstandard dictionary from the bounded sample; empty for no documents."""
-    rows = (
-        docs.select(F.substring(text_or_empty(), 1, SAMPLE_CHARS).alias("t"), F.xxhash64("doc_id", "text").alias("h"))
-        .orderBy("h", "t")
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
+    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    rows = docs.where(part <= int(share * (1 << 30))).select(F.substring(text_or_empty(), 1, SAMPLE_CHARS).alias("t"))
     segments = segments_of(tokenizer_file)
-    samples = [_ids(segments, r["t"], end_id) for r in rows]
+    # twice the number: rows that are copies of each other are chosen together
+    samples = [_ids(segments, r["t"], end_id) for r in rows.limit(2 * SAMPLE_DOCS).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: their own bytes will do
