@@ -17,7 +17,7 @@ def ranks(
     descending: bool = False,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Adds ``rank`` and ``dense_rank`` by ``order``."""
+    """Adds ``rank`` and ``dense_rank`` by ``order`` (a leading ``-``: descending)."""
     return sc.scan(df, keys, order, descending, hot_rows, rank=sc.rank(), dense_rank=sc.dense_rank())
 
 
@@ -26,24 +26,31 @@ def distribution(
     keys: Sequence[str],
     order: Sequence[str],
     hot_rows: int | None = None,
+    peer_columns: int | None = None,
+    **buckets: int,
 ) -> DataFrame:
-    """Adds ``percent_rank`` and ``cume_dist`` by ``order``."""
+    """Adds ``percent_rank`` and ``cume_dist``, and an ``ntile`` column per
+    ``name=number of buckets``, all from one layout of the rows. ``peer_columns``:
+    that many leading order columns make rows equal; tiles follow all of them."""
     counted = sc.scan(
         df,
         keys,
         order,
         hot_rows=hot_rows,
+        peer_columns=peer_columns,
         __rank=sc.rank(),
         __upto=sc.running_count(peers=True),
         __n=sc.whole_count(),
+        __rn=sc.row_number(),
     )
     n = F.col("__n")
     return counted.withColumns(
         {
             "percent_rank": F.when(n > 1, (F.col("__rank") - 1) / (n - 1)).otherwise(F.lit(0.0)),
             "cume_dist": F.col("__upto") / n,
+            **{name: tile(F.col("__rn"), n, k) for name, k in buckets.items()},
         }
-    ).drop("__rank", "__upto", "__n")
+    ).drop("__rank", "__upto", "__n", "__rn")
 
 
 def tile(row_number: Column, n: Column, tiles: int) -> Column:
@@ -112,6 +119,35 @@ def range_frame(
     return daily.withColumns({n: again[how](n).over(w) for n, (_, how) in aggregates.items()})
 
 
+def range_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    before: int,
+    after: int,
+    value: str,
+    **hows: str,
+) -> DataFrame:
+    """Every input row with aggregates of ``value`` over the rows whose position
+    lies in ``position - before .. position + after``. ``hows``: name = sum,
+    count, min, max or avg.
+
+    The frame depends on the position alone: it is computed once per (key,
+    position), see :func:`range_frame`, and joined back to the rows.
+    """
+    steps = {"sum": (F.sum, "sum"), "count": (F.count, "sum"), "min": (F.min, "min"), "max": (F.max, "max")}
+    parts = sorted({p for h in hows.values() for p in (("sum", "count") if h == "avg" else (h,))})
+    grouped = df.withColumn("__key", F.struct(*[F.col(k) for k in keys]))
+    frames = range_frame(
+        grouped, ["__key"], position, before, after, {f"__{p}": (steps[p][0](value), steps[p][1]) for p in parts}
+    )
+    mean = F.when(F.col("__count") > 0, F.col("__sum").cast("double") / F.col("__count")) if "avg" in hows.values() else None
+    done = [(mean if h == "avg" else F.col(f"__{h}")).alias(n) for n, h in hows.items()]
+    frames = frames.select("__key", F.col(position).alias("__position"), *[f"__{p}" for p in parts])
+    same = grouped["__key"].eqNullSafe(frames["__key"]) & grouped[position].eqNullSafe(frames["__position"])
+    return grouped.join(frames, same).select(*[grouped[c] for c in df.columns], *done)
+
+
 def previous_period(
     keys: Sequence[str], period: str, value: str, default: object = None
 ) -> Column:

@@ -46,6 +46,13 @@ def _answer_chunks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iter
     yield flush()
 
 
+def _number(column: str, df: DataFrame) -> Column:
+    """Neither null nor NaN."""
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    known = F.col(column).isNotNull()
+    return known & ~F.isnan(column) if floating else known
+
+
 def next_higher(
     df: DataFrame,
     keys: Sequence[str],
@@ -64,10 +71,12 @@ def next_higher(
     """
     spark = df.sparkSession
     numbered = sc.scan(df, keys, order, hot_rows=hot_rows, place=sc.row_number())
-    # as a struct the key joins with itself where it is null, too
-    numbered = numbered.withColumn("__k", F.struct(*keys))
+    # stored once: rows with ties must keep their numbers. As a struct the key
+    # joins with itself where it is null, too
+    numbered = written(spark, numbered.withColumn("__k", F.struct(*keys)), "numbered")
     chunk = F.floor((F.col("place") - 1) / chunk_rows).alias("__chunk")
-    slim = numbered.select("__k", chunk, "place", F.col(value).cast("double").alias("__v"))
+    # the value keeps its type: large integers and decimals compare exactly
+    slim = numbered.select("__k", chunk, "place", F.col(value).alias("__v"))
 
     schema = T.StructType(
         [
@@ -85,21 +94,21 @@ def next_higher(
         found = local.select("__k", "place", "next_place")
         return numbered.join(found, ["__k", "place"]).drop("__k")
 
-    open_rows = local.where("next_place IS NULL AND __v IS NOT NULL").select(
+    open_rows = local.where(F.col("next_place").isNull() & _number("__v", slim)).select(
         "__k", "place", "__v", (F.col("__chunk") + 1).alias("__at")
     )
     # maxima[j]: key, chunk -> maximum of the 2^j chunks from there on
     maxima = [
         written(
             spark,
-            local.groupBy("__k", F.col("__chunk").alias("__at")).agg(F.max("__v").alias("__max")),
+            local.where(_number("__v", slim)).groupBy("__k", F.col("__chunk").alias("__at")).agg(F.max("__v").alias("__max")),
             "maxima",
         )
     ]
     while 2 ** len(maxima) <= chunks:
         low, half = maxima[-1], 2 ** (len(maxima) - 1)
         right = low.select("__k", (F.col("__at") - half).alias("__at"), F.col("__max").alias("__max2"))
-        wider = low.join(right, ["__k", "__at"], "left").select(
+        wider = low.join(right, ["__k", "__at"], "full").select(
             "__k", "__at", F.greatest("__max", "__max2").alias("__max")
         )
         maxima.append(written(spark, wider, "maxima"))
@@ -120,9 +129,7 @@ def next_higher(
         open_rows.withColumn("__open", F.lit(1)).withColumn("__found", F.lit(None).cast("long"))
     )
     # equal values: open rows come first (descending order), a greater one is wanted
-    seen = sc.scan(
-        both, ["__k", "__at"], ["__v", "__open"], descending=True, hot_rows=hot_rows, __hit=sc.last_known("__found")
-    )
+    seen = sc.scan(both, ["__k", "__at"], ["-__v", "-__open"], hot_rows=hot_rows, __hit=sc.last_known("__found"))
     crossed = seen.where("__open = 1").select("__k", "place", F.col("__hit").alias("__crossed"))
     found = (
         local.select("__k", "place", "next_place")

@@ -30,10 +30,39 @@ _O = "(SELECT o_orderkey, o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(1
 )
 def win_rank(spark, sf):
     orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate")
-    numbered = sc.scan(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], row_number=sc.row_number())
-    return rk.ranks(numbered, ["o_custkey"], ["o_orderdate"]).select(
-        "o_orderkey", "row_number", "rank", "dense_rank"
+    # one layout answers all three: rows of one date are equal for the ranks only
+    ranked = sc.scan(
+        orders,
+        ["o_custkey"],
+        ["o_orderdate", "o_orderkey"],
+        peer_columns=1,
+        row_number=sc.row_number(),
+        rank=sc.rank(),
+        dense_rank=sc.dense_rank(),
     )
+    return ranked.select("o_orderkey", "row_number", "rank", "dense_rank")
+
+
+@query(
+    "win_rank_text",
+    """SELECT c_custkey, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank,
+              row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey, c_name DESC, c_custkey) AS row_number,
+              lag(c_name) OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey, c_name DESC, c_custkey) AS before
+       FROM customer WINDOW w AS (PARTITION BY c_mktsegment ORDER BY c_nationkey, c_name DESC)""",
+)
+def win_rank_text(spark, sf):
+    """Order by text, directions mixed."""
+    ranked = sc.scan(
+        load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+        ["c_mktsegment"],
+        ["c_nationkey", "-c_name", "c_custkey"],
+        peer_columns=2,
+        rank=sc.rank(),
+        dense_rank=sc.dense_rank(),
+        row_number=sc.row_number(),
+        before=sc.previous("c_name"),
+    )
+    return ranked.select("c_custkey", "rank", "dense_rank", "row_number", "before")
 
 
 @query(
@@ -46,15 +75,13 @@ def win_rank(spark, sf):
 )
 def win_dist(spark, sf):
     orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate")
-    spread = rk.distribution(orders, ["o_custkey"], ["o_orderdate"])
-    tiled = rk.tiles(spread, ["o_custkey"], ["o_orderdate", "o_orderkey"], ntile2=2, ntile3=3, ntile4=4)
-    return tiled.select(
+    tiles = {"ntile2": 2, "ntile3": 3, "ntile4": 4}
+    spread = rk.distribution(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], peer_columns=1, **tiles)
+    return spread.select(
         "o_orderkey",
         F.round("percent_rank", 9).alias("percent_rank"),
         F.round("cume_dist", 9).alias("cume_dist"),
-        "ntile2",
-        "ntile3",
-        "ntile4",
+        *tiles,
     )
 
 
@@ -84,71 +111,106 @@ def win_lag_lead(spark, sf):
        FROM {_O} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
 )
 def win_lag_far(spark, sf):
-    order = ["o_orderdate", "o_orderkey"]
-    back = sc.with_lag(_orders(spark, sf), ["o_custkey"], order, "price", 3, "third_before", default=0)
-    both = sc.with_lag(back, ["o_custkey"], order, "price", -2, "second_after")
-    return both.select(
-        "o_orderkey", F.col("third_before").cast("double").alias("third_before"), F.col("second_after").cast("double").alias("second_after")
-    )
+    rows = sc.Ordered(_orders(spark, sf), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    both = rows.add_lag("price", 3, "third_before", default=0).add_lag("price", -2, "second_after").frame()
+    return both.select("o_orderkey", *[F.col(c).cast("double").alias(c) for c in ("third_before", "second_after")])
+
+
+_SOME = "CASE WHEN price > 100000 THEN price END"
 
 
 @query(
     "win_first_last",
-    f"""SELECT o_orderkey, first_value(o_orderkey) OVER w AS first_key, last_value(price)
-              OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) ::DOUBLE AS last_price,
+    f"""SELECT o_orderkey, first_value(o_orderkey) OVER w AS first_key, first_value({_SOME}) OVER w ::DOUBLE AS first_price,
+              last_value({_SOME}) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) ::DOUBLE AS last_price,
+              first_value(CASE WHEN price > 200000 THEN o_orderkey END IGNORE NULLS) OVER w AS first_big,
               last_value(CASE WHEN price > 200000 THEN o_orderkey END IGNORE NULLS) OVER w AS last_big
        FROM {_O} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)""",
 )
 def win_first_last(spark, sf):
-    orders = _orders(spark, sf)
+    """Nulls count as values, or are skipped."""
+    some = F.when(F.col("price") > 100000, F.col("price"))
+    big = F.when(F.col("price") > 200000, F.col("o_orderkey"))
     seen = sc.scan(
-        orders,
+        _orders(spark, sf),
         ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
-        first_key=sc.first_known("o_orderkey"),
-        last_price=sc.last_known("price"),
-        last_big=sc.last_known(F.when(F.col("price") > 200000, F.col("o_orderkey"))),
+        first_key=sc.first_value("o_orderkey"),
+        first_price=sc.first_value(some),
+        last_price=sc.last_value(some, peers=True),
+        first_big=sc.first_known(big),
+        last_big=sc.last_known(big),
     )
-    return seen.select("o_orderkey", "first_key", F.col("last_price").cast("double").alias("last_price"), "last_big")
+    prices = [F.col(c).cast("double").alias(c) for c in ("first_price", "last_price")]
+    return seen.select("o_orderkey", "first_key", *prices, "first_big", "last_big")
+
+
+#: The seven frames, by name: SQL and first and last row.
+_FRAMES = {
+    "of_key": ("UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING", None, None),
+    "to_row": ("UNBOUNDED PRECEDING AND CURRENT ROW", None, 0),
+    "one_back": ("1 PRECEDING AND CURRENT ROW", -1, 0),
+    "around": ("1 PRECEDING AND 1 FOLLOWING", -1, 1),
+    "to_end": ("CURRENT ROW AND UNBOUNDED FOLLOWING", 0, None),
+    "wide": ("5 PRECEDING AND 2 PRECEDING", -5, -2),
+}
+
+
+def _frame_sql(*hows):
+    parts = [
+        f"CAST({h}(p) OVER (w ROWS BETWEEN {frame}) AS DOUBLE) AS {name}_{h}"
+        for name, (frame, _, _) in _FRAMES.items()
+        for h in hows
+    ]
+    return f"""SELECT o_orderkey, {", ".join(parts)} FROM (SELECT *, {_SOME} AS p FROM {_O})
+               WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"""
+
+
+def _framed(spark, sf, *hows):
+    orders = _orders(spark, sf).withColumn("p", F.when(F.col("price") > 100000, F.col("price")))
+    rows = sc.Ordered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    for name, (_, first, last) in _FRAMES.items():
+        rows.add_frame("p", first, last, **{f"{name}_{h}": h for h in hows})
+    names = [f"{n}_{h}" for n in _FRAMES for h in hows]
+    return rows.frame().select("o_orderkey", *[F.col(c).cast("double").alias(c) for c in names])
+
+
+@query("win_frames_min", _frame_sql("min", "max"))
+def win_frames_min(spark, sf):
+    return _framed(spark, sf, "min", "max")
 
 
 @query(
     "win_frames",
-    f"""SELECT o_orderkey,
-              CAST(sum(price) OVER () AS DOUBLE) AS all_rows,
-              CAST(sum(price) OVER (PARTITION BY o_custkey) AS DOUBLE) AS of_key,
-              CAST(sum(price) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS DOUBLE) AS to_peers,
-              CAST(sum(price) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS to_row,
-              CAST(sum(price) OVER (w ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS DOUBLE) AS one_back,
-              CAST(sum(price) OVER (w ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS DOUBLE) AS around,
-              CAST(sum(price) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS to_end
-       FROM {_O} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+    f"""SELECT f.*, CAST(sum({_SOME}) OVER () AS DOUBLE) AS all_rows,
+              CAST(sum({_SOME}) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS DOUBLE) AS to_peers
+        FROM {_O} o JOIN ({_frame_sql("sum", "count")}) f USING (o_orderkey)""",
 )
 def win_frames(spark, sf):
-    orders = _orders(spark, sf)
-    rows = sc.scan(
-        orders,
-        ["o_custkey"],
-        ["o_orderdate", "o_orderkey"],
-        of_key=sc.whole_sum("price"),
-        to_row=sc.running_sum("price"),
-        __before=sc.previous("price", 0),
-        __after=sc.following("price", 0),
-    )
-    rows = sc.scan(rows, ["o_custkey"], ["o_orderdate"], to_peers=sc.running_sum("price", peers=True))
+    orders = _orders(spark, sf).withColumn("p", F.when(F.col("price") > 100000, F.col("price")))
+    peers = sc.scan(orders, ["o_custkey"], ["o_orderdate"], to_peers=sc.running_sum("p", peers=True))
     # the total of all rows is one value, not a window over the whole table
-    total = orders.agg(F.sum("price")).scalar()
-    price = F.col("price")
-    frames = {
-        "all_rows": total,
-        "of_key": F.col("of_key"),
-        "to_peers": F.col("to_peers"),
-        "to_row": F.col("to_row"),
-        "one_back": F.col("__before") + price,
-        "around": F.col("__before") + price + F.col("__after"),
-        "to_end": F.col("of_key") - F.col("to_row") + price,
-    }
-    return rows.select("o_orderkey", *[c.cast("double").alias(n) for n, c in frames.items()])
+    total = orders.agg(F.sum("p")).scalar().cast("double").alias("all_rows")
+    return _framed(spark, sf, "sum", "count").join(
+        peers.select("o_orderkey", F.col("to_peers").cast("double").alias("to_peers"), total), "o_orderkey"
+    )
+
+
+@query(
+    "win_range_rows",
+    f"""SELECT o_orderkey, CAST(sum(price) OVER w AS DOUBLE) AS total, count(price) OVER w AS n, CAST(min(price) OVER w AS DOUBLE) AS low,
+              round(avg(price) OVER w, 4) AS mean
+       FROM (SELECT *, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS d FROM {_O})
+       WINDOW w AS (PARTITION BY o_custkey ORDER BY d RANGE BETWEEN 30 PRECEDING AND 10 FOLLOWING)""",
+)
+def win_range_rows(spark, sf):
+    orders = _orders(spark, sf).withColumn("day_no", F.unix_date(F.to_date("o_orderdate")))
+    framed = rk.range_rows(
+        orders, ["o_custkey"], "day_no", 30, 10, "price", total="sum", n="count", low="min", mean="avg"
+    )
+    return framed.select(
+        "o_orderkey", F.col("total").cast("double").alias("total"), "n", F.col("low").cast("double").alias("low"), F.round("mean", 4).alias("mean")
+    )
 
 
 @query(
