@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from millrace.operators.joins import hot_keys
+from millrace.operators.joins import HOT_ROWS, hot_keys
 from millrace.operators.scan import row_number, scan
 
 
@@ -30,6 +34,97 @@ def weighted_mean(value: str | Column, weight: str | Column) -> Column:
     return F.sum(value * weight).cast("double") / F.sum(weight).cast("double")
 
 
+@dataclass(frozen=True)
+class UserAggregate:
+    """An aggregate given by its steps, in native expressions.
+
+    ``create``: the empty state, one column per name; ``accumulate``: value
+    column -> what one row adds to each state column; ``merge``: how two
+    partial states are put together, by the name of a mergeable aggregate
+    (sum, min, max, bit_or, bit_and, bit_xor); ``result``: states -> value.
+    """
+
+    create: dict[str, Column]
+    accumulate: Callable[[Column], dict[str, Column]]
+    merge: dict[str, str]
+    result: Callable[[dict[str, Column]], Column]
+
+    def partial(self, value: Column) -> list[Column]:
+        rows = self.accumulate(value)
+        return [_MERGE[self.merge[n]](rows[n]).alias(n) for n in self.create]
+
+    def merged(self) -> list[Column]:
+        return [_MERGE[self.merge[n]](F.col(n)).alias(n) for n in self.create]
+
+    def finish(self) -> Column:
+        return self.result({n: F.coalesce(F.col(n), empty) for n, empty in self.create.items()})
+
+
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "bit_or": F.bit_or, "bit_and": F.bit_and, "bit_xor": F.bit_xor}
+
+
+def user_partials(df: DataFrame, keys: Sequence[str], value: str, agg: UserAggregate) -> DataFrame:
+    """States per key: what may be stored and merged later (days to months)."""
+    return df.groupBy(*keys).agg(*agg.partial(F.col(value)))
+
+
+def user_results(partials: DataFrame, keys: Sequence[str], agg: UserAggregate, name: str) -> DataFrame:
+    """Merge states to the (coarser) ``keys`` and finish them."""
+    return partials.groupBy(*keys).agg(*agg.merged()).select(*keys, agg.finish().alias(name))
+
+
+def reduce_by_key(
+    df: DataFrame, keys: Sequence[str], value: str, function: Callable, name: str, chunk: int = 10_000
+) -> DataFrame:
+    """Fold the values of each key with a function of two values, such as
+    ``lambda a, b: a if len(a) >= len(b) else b``.
+
+    The function must be associative and commutative; null values are skipped.
+    Every task first folds its own rows, so a busy key sends one value per task
+    (a task holds at most ``chunk`` open keys and sends them on when it has more).
+    """
+    narrow = df.select(*keys, F.col(value).alias(name)).where(F.col(name).isNotNull())
+    schema = narrow.schema
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[tuple, object] = {}
+
+        def flush() -> pa.RecordBatch:
+            rows = [dict(zip(schema.fieldNames(), (*k, v))) for k, v in open_.items()]
+            open_.clear()
+            return pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            for *key, v in zip(*[c.to_pylist() for c in batch.columns]):
+                k = tuple(key)
+                open_[k] = function(open_[k], v) if k in open_ else v
+                if len(open_) > chunk:
+                    yield flush()
+        yield flush()
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by key: one open value at a time."""
+        arrow = to_arrow_schema(schema)
+        last: tuple | None = None
+        for batch in batches:
+            rows = []
+            for *key, v in zip(*[c.to_pylist() for c in batch.columns]):
+                if last is not None and last[0] == key:
+                    last = (key, function(last[1], v))
+                else:
+                    if last is not None:
+                        rows.append((*last[0], last[1]))
+                    last = (key, v)
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.fieldNames(), r)) for r in rows], schema=arrow)
+        if last is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.fieldNames(), (*last[0], last[1])))], schema=arrow)
+
+    folded = narrow.mapInArrow(fold, schema)
+    sorted_ = folded.repartition(*keys).sortWithinPartitions(*keys) if keys else folded.coalesce(1)
+    return sorted_.mapInArrow(finish, schema)
+
+
 def salted_aggregate(
     df: DataFrame,
     keys: Sequence[str],
@@ -51,19 +146,19 @@ def split_hot_aggregate(
     df: DataFrame,
     keys: Sequence[str],
     salt_from: Sequence[str],
-    at_most: int,
     salts: int,
     partial: Sequence[Column],
     final: Sequence[Column],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Salt only the keys with more than ``1 / at_most`` of all rows."""
-    hot = hot_keys(df, keys, at_most).withColumn("__hot", F.lit(True))
+    """Salt only the keys with more than ``hot_rows`` rows; the others have one
+    salt. One pass over the rows after the stored list of busy keys."""
+    hot = hot_keys(df, keys, hot_rows)
     tagged = df.join(F.broadcast(hot), list(keys), "left")
-    busy = salted_aggregate(
-        tagged.where("__hot").drop("__hot"), keys, salt_from, salts, partial, final
+    salt = F.when(F.col("__n").isNotNull(), F.pmod(F.xxhash64(*salt_from), F.lit(salts))).otherwise(0).cast("int")
+    return (
+        tagged.withColumn("__salt", salt).groupBy(*keys, "__salt").agg(*partial).groupBy(*keys).agg(*final)
     )
-    rest = tagged.where("__hot IS NULL").groupBy(*keys).agg(*partial).groupBy(*keys).agg(*final)
-    return busy.unionByName(rest)
 
 
 def grouping_sets(
@@ -107,13 +202,15 @@ def multiset(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataF
 def json_object_agg(key: str, value: str, absent_on_null: bool = False) -> Column:
     """JSON object of key/value pairs, sorted by key.
 
-    Null values are kept as ``null`` or, with ``absent_on_null``, left out.
+    Null values are kept as ``null`` or, with ``absent_on_null``, left out. Of
+    a repeated key the largest value stays, a null only if there is no other;
+    a null key is left out.
     """
-    pair = F.struct(F.col(key).alias("k"), F.col(value).alias("v"))
-    if absent_on_null:
-        pair = F.when(F.col(value).isNotNull(), pair)
-    entries = F.array_sort(F.collect_list(pair))
-    return F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
+    keep = F.col(key).isNotNull() & (F.col(value).isNotNull() if absent_on_null else F.lit(True))
+    # falling: of each key the largest value comes first, null last
+    pairs = F.sort_array(F.collect_set(F.when(keep, F.struct(F.col(key).alias("k"), F.col(value).alias("v")))), asc=False)
+    first = F.filter(pairs, lambda p, i: (i == 0) | ~F.get(pairs, i - 1)["k"].eqNullSafe(p["k"]))
+    return F.to_json(F.map_from_entries(F.reverse(first)), {"ignoreNullFields": "false"})
 
 
 def json_array_agg(value: str, null_on_null: bool = False) -> Column:

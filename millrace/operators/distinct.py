@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Ids that one bitmap covers.
+BITMAP_IDS = 8 * 4096
+
+
 def bitmap_partials(df: DataFrame, keys: Sequence[str], ids: str) -> DataFrame:
     """One bitmap per key and id range; partials of several days can be merged.
 
@@ -31,6 +35,33 @@ def count_partials(partials: DataFrame, keys: Sequence[str], name: str) -> DataF
     return partials.groupBy(*keys).agg(ids.cast("long").alias(name))
 
 
+def last_id(partials: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Largest id per key, read off its highest bitmap; null for an empty one.
+
+    Range ``r`` holds the ids ``(r - 1) * 32768 + 1 + position`` if it is above
+    0, else ``r * 32768 - position``: there the lowest bit is the largest id.
+    """
+    held = partials.where(F.bitmap_count("bitmap") > 0)
+    top = held.groupBy(*keys).agg(F.max_by(F.struct("id_range", F.hex("bitmap").alias("digits")), "id_range").alias("t"))
+    digits, r = F.col("t.digits"), F.col("t.id_range")
+    # two digits a byte, low positions first; skip empty bytes at the end or at the start
+    upto = F.length(F.regexp_replace(digits, "(?:00)+$", ""))
+    upto = upto + upto % 2
+    skipped = F.length(F.regexp_extract(digits, "^(?:00)*", 0))
+    bits = lambda at: F.bin(F.conv(F.substr(digits, at, F.lit(2)), 16, 10).cast("long"))
+    highest = (upto / 2 - 1).cast("long") * 8 + F.length(bits(upto - 1)) - 1
+    low = bits(skipped + 1)
+    lowest = (skipped / 2).cast("long") * 8 + F.length(low) - F.length(F.regexp_replace(low, "0+$", ""))
+    found = F.when(r > 0, (r - 1) * BITMAP_IDS + 1 + highest).otherwise(r * BITMAP_IDS - lowest)
+    known = top.select(*keys, found.cast("long").alias(name))
+    return partials.select(*keys).distinct().join(known, list(keys), "left") if keys else known
+
+
+def is_empty(partials: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Whether a key has no ids at all."""
+    return count_partials(partials, keys, "__n").select(*keys, (F.col("__n") == 0).alias(name))
+
+
 def bitmap_distinct(df: DataFrame, keys: Sequence[str], ids: str, name: str) -> DataFrame:
     """Exact distinct count by bitmap: best where ids are dense.
 

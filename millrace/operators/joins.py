@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.scan import last_known, running_sum, scan
+from millrace.session import written
 
 # Largest side that may be sent whole to every task.
 BROADCAST_ROWS = 100_000
@@ -40,45 +41,20 @@ def lookup_join(
     return facts.hint("merge").join(dimension.hint("merge"), list(on), how)
 
 
-def theta_join(left: DataFrame, right: DataFrame, condition: Column, limit: int = 1_000) -> DataFrame:
-    """Join on an inequality with a right side of at most ``limit`` rows.
-
-    The bound is checked: the result is then at most ``limit`` rows per left
-    row. Two large sides would give a quadratic result and are refused; use
-    :func:`count_above` for the question "how many larger ones are there".
-    """
-    if not small_enough(right, limit):
-        raise ValueError(f"right side of an inequality join has more than {limit} rows")
-    return left.join(F.broadcast(right), condition)
-
-
-def count_above(
-    left: DataFrame, right: DataFrame, value: str, name: str, hot_rows: int | None = None
-) -> DataFrame:
-    """Per left row the number of right rows with a larger ``value``.
+def count_above(left: DataFrame, right: DataFrame, value: str, name: str) -> DataFrame:
+    """Per left row the number of right rows with a larger ``value``; 0 where
+    the value is null, and null right rows do not count, as in SQL.
 
     The inequality join of two large tables, counted without forming pairs:
-    one running count over both sides in descending order.
+    rows are counted per distinct value, a running sum goes down the values,
+    and each left row looks its value up.
     """
-    columns = left.columns
-    both = left.select(
-        F.struct(*columns).alias("__left"), value, F.lit(0).cast("long").alias("__right")
-    ).unionByName(
-        right.select(
-            F.lit(None).cast(left.select(F.struct(*columns).alias("s")).schema["s"].dataType).alias("__left"),
-            value,
-            F.lit(1).cast("long").alias("__right"),
-        )
-    )
-    counted = scan(
-        both, [], [value], descending=True, hot_rows=hot_rows, __peers=running_sum("__right", peers=True)
-    )
-    ties = right.groupBy(value).agg(F.count(F.lit(1)).alias("__ties"))
-    return (
-        counted.where(F.col("__left").isNotNull())
-        .join(ties, value, "left")
-        .select("__left.*", (F.col("__peers") - F.coalesce("__ties", F.lit(0))).alias(name))
-    )
+    known = right.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    asked = left.where(F.col(value).isNotNull()).groupBy(value).agg(F.lit(0).cast("long").alias("__n"))
+    values = known.unionByName(asked).groupBy(value).agg(F.sum("__n").alias("__n"))
+    summed = scan(values, [], [value], descending=True, __upto=running_sum("__n"))
+    above = summed.select(value, (F.col("__upto") - F.col("__n")).alias(name))
+    return left.join(above, value, "left").select(*[left[c] for c in left.columns], F.coalesce(name, F.lit(0)).alias(name))
 
 
 def window_join(
@@ -163,39 +139,46 @@ def asof_join(
     return found.where(F.col("__side") == 1).select("__left.*", "__seen.*")
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], at_most: int) -> DataFrame:
-    """Keys that hold more than ``1 / at_most`` of all rows.
+HOT_ROWS = 1_000_000
 
-    There cannot be more than ``at_most`` of them, whatever the table's size,
-    so the list may be broadcast.
+
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, at_most: int = 10_000) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, stored, with their number as ``__n``.
+
+    The list may be broadcast: of more than ``at_most`` such keys the largest
+    are listed, which leaves none out that holds more than a share of
+    ``1 / at_most`` of all rows.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    return counts.where(F.col("__n") * at_most > total).drop("__n")
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+    largest = counts.orderBy(F.col("__n").desc(), *on).limit(at_most)
+    return written(df.sparkSession, largest, "hot-keys")
 
 
 def skew_split_join(
     facts: DataFrame,
     dimension: DataFrame,
     on: Sequence[str],
-    at_most: int = 1_000,
+    hot_rows: int = HOT_ROWS,
     how: str = "inner",
 ) -> DataFrame:
     """Join with a table unique on ``on`` where some fact keys are very busy.
 
     Rows of busy keys (see :func:`hot_keys`) meet a broadcast of just those
-    dimension rows; all other rows take the ordinary shuffle join.
+    dimension rows; all other rows take the ordinary shuffle join. A dimension
+    that repeats a busy key is refused: its rows would multiply.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
-    hot = hot_keys(facts, on, at_most)
+    hot = hot_keys(facts, on, hot_rows).drop("__n")
+    if hot.isEmpty():
+        return facts.join(dimension, list(on), how)
     tagged = facts.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), list(on), "left")
-    hot_rows = tagged.where("__hot").drop("__hot")
+    busy = tagged.where("__hot").drop("__hot")
     rest = tagged.where("__hot IS NULL").drop("__hot")
-    hot_dimension = dimension.join(F.broadcast(hot), list(on), "left_semi")
-    return hot_rows.join(F.broadcast(hot_dimension), list(on), how).unionByName(
-        rest.join(dimension, list(on), how)
-    )
+    hot_dimension = written(facts.sparkSession, dimension.join(F.broadcast(hot), list(on), "left_semi"), "hot-rows")
+    if not hot_dimension.groupBy(*on).count().where("count > 1").isEmpty():
+        raise ValueError(f"the dimension is not unique on {list(on)}")
+    return busy.join(F.broadcast(hot_dimension), list(on), how).unionByName(rest.join(dimension, list(on), how))
 
 
 def salted_join(

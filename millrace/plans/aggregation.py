@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as ag
 from millrace.operators import distinct as ds
+from millrace.operators import joins as jn
 from millrace.operators import textjobs as tj
 from millrace.plans.registry import query
 from millrace.sources.tables import day, load, money, spread
@@ -221,6 +222,72 @@ def udaf_custom(spark, sf):
     return load(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.round(mean, 6).alias("mean_price"))
 
 
+@query(
+    "udaf_merge",
+    """SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(var_pop(value), 4) AS variance, bit_xor(user_id) AS mark
+       FROM events GROUP BY event_type""",
+)
+def udaf_merge(spark, sf):
+    """User aggregates in four steps; daily states are merged to the whole period."""
+    zero = F.lit(0).cast("decimal(38,6)")
+    spread = ag.UserAggregate(
+        create={"n": F.lit(0).cast("long"), "s": zero, "q": zero},
+        accumulate=lambda v: {
+            "n": F.when(v.isNotNull(), F.lit(1)).cast("long"),
+            "s": v.cast("decimal(38,6)"),
+            "q": (v.cast("decimal(18,6)") * v.cast("decimal(18,6)")).cast("decimal(38,6)"),
+        },
+        merge={"n": "sum", "s": "sum", "q": "sum"},
+        result=lambda s: F.struct(
+            s["n"].alias("n"),
+            F.try_divide(s["s"].cast("double"), s["n"]).alias("mean"),
+            (F.try_divide(s["q"].cast("double"), s["n"]) - F.pow(F.try_divide(s["s"].cast("double"), s["n"]), 2)).alias("var"),
+        ),
+    )
+    mark = ag.UserAggregate(
+        create={"x": F.lit(0).cast("long")}, accumulate=lambda v: {"x": v}, merge={"x": "bit_xor"}, result=lambda s: s["x"]
+    )
+    events = load(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    results = [
+        ag.user_results(ag.user_partials(events, ["day", "event_type"], value, agg), ["event_type"], agg, name)
+        for value, agg, name in (("value", spread, "spread"), ("user_id", mark, "mark"))
+    ]
+    return results[0].join(results[1], "event_type").select(
+        "event_type",
+        "spread.n",
+        F.round("spread.mean", 6).alias("mean"),
+        F.round("spread.var", 4).alias("variance"),
+        "mark",
+    )
+
+
+@query(
+    "agg_reduce_custom",
+    """SELECT c_mktsegment, max_by(c_name, (length(c_name), c_acctbal, c_custkey)) AS longest FROM
+         (SELECT c_mktsegment, c_name, c_acctbal, c_custkey FROM customer) GROUP BY c_mktsegment""",
+)
+def agg_reduce_custom(spark, sf):
+    """Reduce with a function of two values given by the caller."""
+    row = F.struct(F.length("c_name").alias("size"), "c_acctbal", "c_custkey", "c_name")
+    customers = load(spark, sf, "customer").select("c_mktsegment", row.alias("row"))
+    order = lambda r: (r["size"], r["c_acctbal"], r["c_custkey"])
+    best = ag.reduce_by_key(customers, ["c_mktsegment"], "row", lambda a, b: a if order(a) >= order(b) else b, "best")
+    return best.select("c_mktsegment", F.col("best.c_name").alias("longest"))
+
+
+@query(
+    "agg_bitmap_bounds",
+    """SELECT event_type, max(CASE WHEN user_id % 3 = 0 THEN -user_id ELSE user_id END) AS last_id, count(*) = 0 AS empty
+       FROM events GROUP BY event_type""",
+)
+def agg_bitmap_bounds(spark, sf):
+    """Largest id and emptiness of stored bitmaps; some ids are negative."""
+    signed = F.when(F.col("user_id") % 3 == 0, -F.col("user_id")).otherwise(F.col("user_id"))
+    parts = ds.bitmap_partials(load(spark, sf, "events").withColumn("id", signed), ["event_type"], "id")
+    last = ds.last_id(parts, ["event_type"], "last_id")
+    return last.join(ds.is_empty(parts, ["event_type"], "empty"), "event_type")
+
+
 @query(
     "agg_bitmap_distinct",
     "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type",
@@ -469,7 +536,7 @@ def agg_hot_split(spark, sf):
     events = load(spark, sf, "events").select("event_id", "user_id", money("value").alias("v"))
     partial = [rows().alias("n"), F.sum("v").alias("v")]
     final = [F.sum("n").alias("n"), F.sum("v").cast("double").alias("total")]
-    return ag.split_hot_aggregate(events, ["user_id"], ["event_id"], 140, 16, partial, final)
+    return ag.split_hot_aggregate(events, ["user_id"], ["event_id"], 16, partial, final, hot_rows=500)
 
 
 @query(
@@ -501,7 +568,8 @@ def daily_pv_dau(spark, sf):
 def id_dictionary(spark, sf):
     documents = load(spark, sf, "documents").select("doc_id", "source")
     ids = ag.dense_ids(documents, "source", "doc_id")
-    return documents.join(ids, "source").select("doc_id", "id")
+    # few values: the dictionary goes to the documents, which stay where they are
+    return jn.lookup_join(documents, ids, ["source"], "inner").select("doc_id", "id")
 
 
 @query(

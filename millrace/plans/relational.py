@@ -191,6 +191,16 @@ def udtf_split(spark, sf):
     return spark.sql("SELECT p_partkey, word FROM udtf_part, LATERAL split_words(p_name)")
 
 
+@query(
+    "udf_pandas_by_name",
+    "SELECT doc_id, strip_accents(text) AS plain FROM documents",
+)
+def udf_pandas_by_name(spark, sf):
+    sx.register_functions(spark)
+    load(spark, sf, "documents").createOrReplaceTempView("udf_documents")
+    return spark.sql("SELECT doc_id, fold_accents(text) AS plain FROM udf_documents")
+
+
 @query(
     "udf_by_name",
     """SELECT p_partkey, upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS title,
@@ -216,56 +226,42 @@ def join_inner(spark, sf):
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
 
 
-def _urgent(spark, sf):
-    return (
-        load(spark, sf, "orders")
-        .where("o_orderpriority = '1-URGENT' AND o_totalprice > 400000")
-        .select("o_orderkey", "o_custkey")
-    )
+def _customers_and_orders(spark, sf):
+    """Some customers have no order, and some orders a customer left out here."""
+    customers = load(spark, sf, "customer").select("c_custkey", "c_name")
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return customers, orders
 
 
 @query(
     "join_left",
-    """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN
-       (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000) o ON c_custkey = o_custkey""",
+    """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey""",
 )
 def join_left(spark, sf):
+    customers, orders = _customers_and_orders(spark, sf)
     on = F.col("c_custkey") == F.col("o_custkey")
-    return load(spark, sf, "customer").join(_urgent(spark, sf), on, "left").select("c_custkey", "o_orderkey")
+    return customers.join(orders, on, "left").select("c_custkey", "o_orderkey")
 
 
 @query(
     "join_right",
-    """SELECT c_custkey, o_orderkey FROM
-       (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000) o
-       RIGHT JOIN customer ON c_custkey = o_custkey""",
+    """SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON c_custkey = o_custkey""",
 )
 def join_right(spark, sf):
+    customers, orders = _customers_and_orders(spark, sf)
     on = F.col("c_custkey") == F.col("o_custkey")
-    return _urgent(spark, sf).join(load(spark, sf, "customer"), on, "right").select("c_custkey", "o_orderkey")
+    return orders.join(customers, on, "right").select("c_custkey", "o_orderkey")
 
 
 @query(
     "join_full",
-    """SELECT c_custkey, o_custkey, o_orderkey FROM
-       (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000) o
-       FULL JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) c ON c_custkey = o_custkey""",
+    """SELECT user_id, o_custkey, o_orderkey FROM orders FULL JOIN (SELECT DISTINCT user_id FROM events) ON user_id = o_custkey""",
 )
 def join_full(spark, sf):
-    rich = load(spark, sf, "customer").where("c_acctbal > 5000")
-    on = F.col("c_custkey") == F.col("o_custkey")
-    return _urgent(spark, sf).join(rich, on, "full").select("c_custkey", "o_custkey", "o_orderkey")
-
-
-@query(
-    "join_theta",
-    """SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_nationkey < n_nationkey""",
-)
-def join_theta(spark, sf):
-    nation = load(spark, sf, "nation")
-    return jn.theta_join(
-        load(spark, sf, "supplier"), nation, F.col("s_nationkey") < F.col("n_nationkey")
-    ).select("s_suppkey", "n_nationkey")
+    """Users without orders and orders of customers who are no users."""
+    _, orders = _customers_and_orders(spark, sf)
+    users = load(spark, sf, "events").select("user_id").distinct()
+    return orders.join(users, F.col("user_id") == F.col("o_custkey"), "full").select("user_id", "o_custkey", "o_orderkey")
 
 
 @query(
@@ -283,13 +279,12 @@ def join_theta_count(spark, sf):
 @query(
     "join_multi",
     """SELECT l_orderkey, l_linenumber, o_orderstatus, c_name FROM lineitem
-       JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-       WHERE l_quantity > 45""",
+       JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
 )
 def join_multi(spark, sf):
-    lines = load(spark, sf, "lineitem").where("l_quantity > 45")
     return (
-        lines.join(load(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        load(spark, sf, "lineitem")
+        .join(load(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .select("l_orderkey", "l_linenumber", "o_orderstatus", "c_name")
     )
@@ -297,11 +292,10 @@ def join_multi(spark, sf):
 
 @query(
     "join_broadcast",
-    """SELECT l_orderkey, l_linenumber, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey
-       WHERE l_quantity > 40""",
+    """SELECT l_orderkey, l_linenumber, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey""",
 )
 def join_broadcast(spark, sf):
-    lines = load(spark, sf, "lineitem").where("l_quantity > 40").withColumnRenamed("l_partkey", "p_partkey")
+    lines = load(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
     part = load(spark, sf, "part").select("p_partkey", "p_brand")
     return jn.lookup_join(lines, part, ["p_partkey"], "inner").select("l_orderkey", "l_linenumber", "p_brand")
 
@@ -316,7 +310,7 @@ _USER_DIM = "SELECT user_id, min(event_id) AS first_event FROM events GROUP BY u
 def join_skew_split(spark, sf):
     events = load(spark, sf, "events").select("event_id", "user_id")
     users = events.groupBy("user_id").agg(F.min("event_id").alias("first_event"))
-    return jn.skew_split_join(events, users, ["user_id"], at_most=150)
+    return jn.skew_split_join(events, users, ["user_id"], hot_rows=500)
 
 
 @query(
