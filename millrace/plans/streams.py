@@ -129,24 +129,25 @@ def stream_status_sequence(spark, sf):
 
 # the slower of the two streams holds the common watermark back
 _BOTH_CLOSED = """(SELECT min(last) - INTERVAL 5 SECOND FROM (
-    SELECT max(ts) AS last FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type))"""
+    SELECT max(ts) AS last FROM events GROUP BY event_type IN ('click', 'view')))"""
 
 
 @query(
     "stream_union",
-    _sql_window(
-        1, "event_type, ", "count(*) AS n", ", event_type", "event_type IN ('click', 'view')"
-    ).replace(_CLOSED, _BOTH_CLOSED),
+    _sql_window(1, "event_type, ", "count(*) AS n", ", event_type").replace(_CLOSED, _BOTH_CLOSED),
 )
 def stream_union(spark, sf):
-    clicks = rn.event_stream(spark, sf).where("event_type = 'click'")
-    views = rn.event_stream(spark, sf).where("event_type = 'view'")
-    return _shown(rn.run_to_table(wi.window_count(clicks.union(views), "ts", "1 hour", ["event_type"])))
+    """All events, as two streams put together."""
+    events = with_event_time(rn.table_stream(spark, sf, "events", "ts"))
+    seen = F.col("event_type").isin("click", "view")
+    one, two = (events.where(c).withWatermark("ts", "5 seconds") for c in (seen, ~seen))
+    return _shown(rn.run_to_table(wi.window_count(one.union(two), "ts", "1 hour", ["event_type"])))
 
 
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def stream_dedup(spark, sf):
-    events = rn.event_stream(spark, sf, delay="60 days").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    # the key holds the day: a day of keys is all the state there is
+    events = rn.event_stream(spark, sf, delay="1 day").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     once = wi.first_seen(events, ["user_id", "event_type", "day"])
     return rn.run_to_table(once.select("user_id", "event_type", "day"))
 
@@ -157,7 +158,7 @@ def stream_dedup(spark, sf):
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
 )
 def stream_dedup_latest(spark, sf):
-    events = with_event_time(rn.table_stream(spark, sf, "events")).select("user_id", "ts", "event_id", "event_type")
+    events = with_event_time(rn.table_stream(spark, sf, "events", "ts")).select("user_id", "ts", "event_id", "event_type")
     newest = wi.newest(events, ["user_id"], ["ts", "event_id"])
     return rn.run_updates(newest, ["user_id"]).drop("ts")
 
@@ -167,7 +168,7 @@ def stream_dedup_latest(spark, sf):
     "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events",
 )
 def stream_running_count(spark, sf):
-    events = rn.table_stream(spark, sf, "events", rn.BATCH_BYTES).select("user_id", "event_id")
+    events = rn.table_stream(spark, sf, "events", "ts").select("user_id", "event_id")
     counted = pr.process(events, ["user_id"], pr.RunningCount(("user_id",)), "user_id long, n long")
     return rn.run_to_table(counted)
 
@@ -179,7 +180,7 @@ def stream_running_count(spark, sf):
 )
 def stream_json_running_count(spark, sf):
     """Count per JSON key, forgotten two hours after its last row."""
-    events = rn.table_stream(spark, sf, "events").select(sx.json_field("props", "$.k").alias("k"))
+    events = rn.table_stream(spark, sf, "events", "ts").select(sx.json_field("props", "$.k").alias("k"))
     counter = pr.RunningCount(("k",), ttl_ms=pr.TWO_HOURS_MS)
     return rn.run_to_table(pr.process(events, ["k"], counter, "k string, n long", "ProcessingTime"), once=True)
 
@@ -198,24 +199,24 @@ def stream_timer_event(spark, sf):
 
 @query(
     "stream_count_window",
-    """SELECT user_id, (rn - 1) // 5 AS window_no FROM (
-         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+    """SELECT user_id, (rn - 1) // 5 AS window_no, round(sum(value), 4) AS total FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
        GROUP BY 1, 2 HAVING count(*) = 5""",
 )
 def stream_count_window(spark, sf):
-    events = rn.table_stream(spark, sf, "events", rn.BATCH_BYTES).select("user_id", "value")
+    """Rows arrive in the order of time: file by file, and inside a file."""
+    events = rn.table_stream(spark, sf, "events", "ts").select("user_id", "value")
     out = pr.process(
         events, ["user_id"], pr.CountWindow("user_id", "value", 5), "user_id long, window_no long, total double"
     )
-    # which rows share a window follows the arrival order; the windows do not
-    return rn.run_to_table(out).select("user_id", "window_no")
+    return rn.run_to_table(out).select("user_id", "window_no", F.round("total", 4).alias("total"))
 
 
 @query("state_snapshot", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def state_snapshot(spark, sf):
     """Counts read from the state of the finished job, not from its output."""
     checkpoint = work_dir(spark, "state")
-    events = rn.table_stream(spark, sf, "events", rn.BATCH_BYTES).select("user_id")
+    events = rn.table_stream(spark, sf, "events", "ts").select("user_id")
     counted = pr.process(events, ["user_id"], pr.RunningCount(("user_id",)), "user_id long, n long")
     rn.run_to_table(counted, checkpoint=checkpoint)
     return pr.read_state(spark, checkpoint, "count")
@@ -262,7 +263,7 @@ def stream_interval_join(spark, sf):
     buys = rn.event_stream(spark, sf).where("event_type = 'purchase'").select(
         "user_id", F.col("ts").alias("buy_ts"), F.col("event_id").alias("purchase_id")
     )
-    pairs = wi.interval_pairs(clicks, buys, ["user_id"], "click_ts", "buy_ts", "4 HOURS")
+    pairs = wi.interval_pairs(clicks, buys, ["user_id"], "click_ts", "buy_ts", 4 * 3600 * 1000)
     return rn.run_to_table(pairs.select("click_id", "purchase_id"))
 
 
@@ -281,7 +282,7 @@ def stream_lookup_join(spark, sf):
         )
         write(jn.lookup_join(batch, customer, ["user_id"]).select("event_id", "c_name"), batch_id)
 
-    rn.run_batches(rn.table_stream(spark, sf, "events").select("event_id", "user_id"), enrich)
+    rn.run_batches(rn.table_stream(spark, sf, "events", "ts").select("event_id", "user_id"), enrich)
     return spark.read.parquet(path).select("event_id", "c_name")
 
 
@@ -298,7 +299,7 @@ def sink_idempotent_batches(spark, sf):
         write(batch, batch_id)
         write(batch, batch_id)
 
-    rn.run_batches(rn.table_stream(spark, sf, "orders", rn.BATCH_BYTES), twice)
+    rn.run_batches(rn.table_stream(spark, sf, "orders", "o_orderdate"), twice)
     return (
         spark.read.parquet(path)
         .groupBy("o_orderstatus")
@@ -309,7 +310,7 @@ def sink_idempotent_batches(spark, sf):
 @query("sink_rolling_files", "SELECT event_id, event_type FROM events")
 def sink_rolling_files(spark, sf):
     path = work_dir(spark, "rolling")
-    events = rn.table_stream(spark, sf, "events")
+    events = rn.table_stream(spark, sf, "events", "ts")
     lines = events.select(F.concat_ws(",", "event_id", "event_type").alias("value"))
     run = rn.roll_text(lines, path, interval="0 seconds")
     run.processAllAvailable()

@@ -12,31 +12,56 @@ from millrace.operators.aggregates import latest_per_key
 from millrace.session import prepare, work_dir
 from millrace.sources.tables import table_path, with_event_time
 
-# Admission limit for keyed processors: what one batch may bring to a busy key.
-BATCH_BYTES = 200 * 2**30
+# Files a stored table is laid out in for streams, and rows of a file: one file
+# is one micro-batch, which bounds what a batch may bring to a busy key.
+LEAST_FILES, FILE_ROWS = 3, 5_000_000
+
+
+def in_time_order(df: DataFrame, time: str, least_files: int = LEAST_FILES, file_rows: int = FILE_ROWS) -> str:
+    """Write ``df`` as files of successive time ranges; the folder's path.
+
+    File streams take files by their modification time, so it is set to the
+    order of the ranges: a stream over the folder sees time go on from file to
+    file, and nothing is late whatever the watermark's delay.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, "in-time-order")
+    files = max(least_files, -(-df.count() // file_rows))
+    df.repartitionByRange(files, time).sortWithinPartitions(time).write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().toString() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    first = min(store.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(n)).getModificationTime() for n in names)
+    for i, name in enumerate(names):
+        store.setTimes(spark._jvm.org.apache.hadoop.fs.Path(name), first - 1000 * (len(names) - i), -1)
+    return path
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, batch_bytes: int | None = None
+    spark: SparkSession, folder: str, name: str, time: str | None = None, least_files: int = LEAST_FILES
 ) -> DataFrame:
-    """A stored table as a stream of its files.
+    """A stored table as a stream in several micro-batches.
 
-    Files of a stored table are in no order of time, so a job with a watermark
-    takes all of them as one batch: nothing is late then. Jobs without one may
-    set ``batch_bytes``.
+    With ``time`` its rows arrive in that order, one time range a batch, which
+    jobs with a watermark need; without, the stored files are taken one by one.
     """
     prepare(spark)
     path = table_path(folder, name)
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if batch_bytes:
-        reader = reader.option("maxBytesPerTrigger", batch_bytes)
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+    if time:
+        return reader.parquet(in_time_order(table, time, least_files))
     # as a pattern the path may name a single file as well as a folder of files
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def event_stream(spark: SparkSession, folder: str, delay: str = "5 seconds") -> DataFrame:
     """The events table as a stream with event time ``ts`` and a watermark."""
-    return with_event_time(table_stream(spark, folder, "events")).withWatermark("ts", delay)
+    return with_event_time(table_stream(spark, folder, "events", "ts")).withWatermark("ts", delay)
+
+
+#: Input rows of the micro-batches of the run that ended last.
+LAST_BATCHES: list[int] = []
 
 
 def replay(
@@ -73,6 +98,7 @@ def run_to_table(
         .start()
     )
     run.awaitTermination()
+    LAST_BATCHES[:] = [p["numInputRows"] for p in run.recentProgress]
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -91,6 +117,7 @@ def run_batches(
         .start()
     )
     run.awaitTermination()
+    LAST_BATCHES[:] = [p["numInputRows"] for p in run.recentProgress]
 
 
 def once_per_batch(path: str) -> Callable[[DataFrame, int], None]:

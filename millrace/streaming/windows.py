@@ -84,15 +84,23 @@ def newest(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     )
 
 
-def interval_pairs(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, before: str) -> DataFrame:
+def interval_pairs(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, before_ms: int
+) -> DataFrame:
     """Pairs with ``right_ts - before <= left_ts <= right_ts`` of two streams.
 
-    Both sides carry watermarks, which let Spark forget old rows.
+    Both sides carry watermarks, which let Spark forget old rows. Slots as wide
+    as the interval are part of the join key: a right row visits the two slots
+    its interval can touch, and a busy key meets only the rows near in time.
     """
-    low, high = F.col(right_ts) - F.expr(f"INTERVAL {before}"), F.col(right_ts)
+    slot = lambda t: F.floor(F.unix_millis(t) / F.lit(before_ms))
+    low, high = F.col(right_ts) - F.expr(f"INTERVAL {before_ms // 1000} SECONDS"), F.col(right_ts)
+    slots = F.explode(F.sequence(slot(low), slot(F.col(right_ts)))).alias("__right_slot")
+    left = left.withColumn("__slot", slot(F.col(left_ts)))
+    right = right.select([F.col(c).alias(f"__right_{c}" if c in on else c) for c in right.columns] + [slots])
     both = left.join(
-        right.select([F.col(c).alias(f"__right_{c}" if c in on else c) for c in right.columns]),
+        right,
         [F.col(c) == F.col(f"__right_{c}") for c in on]
-        + [F.col(left_ts) >= low, F.col(left_ts) <= high],
+        + [F.col("__slot") == F.col("__right_slot"), F.col(left_ts) >= low, F.col(left_ts) <= high],
     )
-    return both.drop(*[f"__right_{c}" for c in on])
+    return both.drop("__slot", "__right_slot", *[f"__right_{c}" for c in on])

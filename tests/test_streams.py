@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalars as sx
 from millrace.operators import joins as jn
+from millrace.plans import QUERIES
 from millrace.session import work_dir
 from millrace.streaming import processors as pr
 from millrace.streaming import run as rn
@@ -31,6 +32,7 @@ def replayed(spark, rows, schema):
     return rn.replay_stream(spark, schema, folder)
 
 
+# The arrival orders below belong to the results derived for them.
 ACTIONS = [
     ("00", "job1"), ("01", "job1"), ("11", "job2"), ("06", "job1"), ("07", "job3"),
     ("08", "job1"), ("09", "job3"), ("09", "job3"), ("32", "job1"),
@@ -173,7 +175,7 @@ def test_window_join_of_two_streams(spark):
 
 def test_interval_join_of_two_streams(spark):
     o, i = _two_streams(spark)
-    pairs = wi.interval_pairs(o, i.withColumnRenamed("ts", "its"), ["id"], "ts", "its", "4 HOURS")
+    pairs = wi.interval_pairs(o, i.withColumnRenamed("ts", "its"), ["id"], "ts", "its", 4 * 3600 * 1000)
     out = got(rn.run_to_table(pairs.select("ms", "id", "info")))
     on_time = [(T(39), "1001", "this"), (T(40), "1002", "is"), (T(49), "1005", "test"), (T(59), "1006", "which")]
     assert set(on_time) <= set(out) <= {*on_time, (T(40), "1002", "ama")}
@@ -200,3 +202,23 @@ def test_a_replayed_batch_is_written_once(spark):
         write(spark.range(3).toDF("id"), 0)
     write(spark.range(4).toDF("id"), 1)
     assert spark.read.parquet(path).count() == 7
+
+
+def test_stored_tables_come_in_several_batches_in_time_order(spark, sf):
+    out = rn.run_to_table(rn.table_stream(spark, sf, "events", "ts").select("ts", "event_id"))
+    batches = [n for n in rn.LAST_BATCHES if n]
+    assert len(batches) >= 3 and sum(batches) == out.count() == 1000
+    QUERIES["stream_tumbling_count"](spark, sf)
+    assert len([n for n in rn.LAST_BATCHES if n]) >= 3
+
+
+def test_interval_join_is_keyed_on_slots(spark, sf):
+    events = rn.event_stream(spark, sf)
+    left = events.select("user_id", F.col("ts").alias("a"))
+    right = rn.event_stream(spark, sf).select("user_id", F.col("ts").alias("b"))
+    pairs = wi.interval_pairs(left, right, ["user_id"], "a", "b", 3_600_000)
+    path, ck = work_dir(spark, "out"), work_dir(spark, "ck")
+    run = pairs.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    run.awaitTermination()
+    text = run._jsq.explainInternal(False)
+    assert "StreamingSymmetricHashJoin [user_id" in text and "__slot" in text.split("StreamingSymmetricHashJoin")[1].split("]")[0]
