@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,6 +55,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
             "spark.python.unix.domain.socket.enabled": "true",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="millrace-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

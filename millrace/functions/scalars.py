@@ -39,15 +39,31 @@ class SplitWords:
                 yield (word,)
 
 
-@F.pandas_udf(T.LongType())
-def to_cents(amount: pd.Series) -> pd.Series:
-    return (amount * 100).round().astype("Int64")
+@F.pandas_udf(T.StringType())
+def fold_accents(text: pd.Series) -> pd.Series:
+    """Letters without their accents; Spark has no Unicode decomposition."""
+    return text.str.normalize("NFD").str.replace(r"[\u0300-\u036f]", "", regex=True).str.normalize("NFC")
+
+
+def processing_time() -> Column:
+    """Time at which a row is processed: the start of the query, on streams of
+    the micro-batch. Not an event time: no watermark can be put on it."""
+    return F.current_timestamp()
 
 
 def register_functions(spark: SparkSession) -> None:
     """Make the functions available to SQL by name."""
     spark.udtf.register("split_words", SplitWords)
-    spark.udf.register("to_cents", to_cents)
+    spark.udf.register("fold_accents", fold_accents)
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION to_cents(amount DOUBLE) RETURNS BIGINT"
+        " RETURN CAST(round(amount * 100) AS BIGINT)"
+    )
+    # the place of a status in its sequence; max() of it is the furthest one
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION furthest_step(status STRING, steps ARRAY<STRING>) RETURNS BIGINT"
+        " RETURN array_position(steps, status)"
+    )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION first_upper(s STRING) RETURNS STRING"
         " RETURN concat(upper(substr(s, 1, 1)), substr(s, 2))"

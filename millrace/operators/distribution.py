@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import written
+
 
 def session_parts(spark: SparkSession) -> int:
     """Number of parts the session shuffles into."""
@@ -49,6 +51,7 @@ def facts(df: DataFrame, key: str) -> DataFrame:
     """One row: rows, used parts, size spread and the most parts any key is in."""
     placed = df.select(key, F.spark_partition_id().alias("__part"))
     counted = placed.groupBy("__part", key).agg(F.count(F.lit(1)).alias("__n"))
+    counted = written(df.sparkSession, counted, "placed")  # both answers come from one count
     per_part = counted.groupBy("__part").agg(F.sum("__n").alias("__n"))
     per_key = counted.groupBy(key).agg(F.count(F.lit(1)).alias("__parts"))
     return per_part.agg(
@@ -64,16 +67,28 @@ def sorted_parts(df: DataFrame, parts: int, keys: Sequence[str], order: Sequence
 
 
 def sort_check(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows per part and how many of them are smaller than the row before."""
+    """Rows per part and how many of them are smaller than the row before
+    (nulls come first). Columns are compared as wholes, batch by batch."""
 
     def check(batches):
         last, rows, wrong = None, 0, 0
         for batch in batches:
-            values = list(zip(*[batch[c].tolist() for c in order]))
-            for value in values:
-                wrong += last is not None and value < last
-                last = value
-            rows += len(values)
+            if not len(batch):
+                continue
+            both = batch if last is None else pd.concat([last, batch])
+            before, after = both.iloc[:-1].reset_index(drop=True), both.iloc[1:].reset_index(drop=True)
+            smaller = pd.Series(False, index=after.index)
+            open_ = pd.Series(True, index=after.index)
+            for c in order:
+                x, y = before[c], after[c]
+                known = x.notna() & y.notna()
+                less, more = (x.notna() & y.isna()).copy(), (x.isna() & y.notna()).copy()
+                less[known], more[known] = y[known] < x[known], y[known] > x[known]
+                smaller |= open_ & less.astype(bool)
+                open_ &= ~(less.astype(bool) | more.astype(bool))
+            wrong += int(smaller.sum())
+            rows += len(batch)
+            last = batch.iloc[-1:]
         yield pd.DataFrame({"rows": [rows], "out_of_order": [wrong]})
 
     return df.select(*order).mapInPandas(check, "rows long, out_of_order long")

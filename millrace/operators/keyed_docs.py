@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregates import latest_per_key
 from millrace.operators.scan import Ordered, last_known, running_sum
+from millrace.session import written
 
 
 def new_documents(df: DataFrame) -> DataFrame:
@@ -19,15 +21,34 @@ def new_documents(df: DataFrame) -> DataFrame:
     return df.withColumn("version", F.lit(1).cast("long")).withColumn("seq_no", F.lit(0).cast("long"))
 
 
-def create(table: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Add documents whose id is free; the others come back as conflicts."""
-    added = new_documents(new.join(table.select(key), key, "left_anti"))
-    conflicts = new.join(table.select(key), key, "left_semi")
-    return table.unionByName(added), conflicts
+def create(
+    table: DataFrame, new: DataFrame, key: str, seq: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Add documents whose id is free; the others come back as conflicts.
 
+    Of several requests for one free id the first gets in: the one with the
+    smallest ``seq``, or without it the one read first.
+    """
+    numbered = written(
+        new.sparkSession, new.withColumn("__row", F.monotonically_increasing_id()), "requests"
+    )
+    order = F.struct(*([seq] if seq else []), "__row")
+    first = numbered.groupBy(key).agg(F.min_by("__row", order).alias("__row"))
+    winners = first.join(table.select(key), key, "left_anti").select("__row")
+    added = numbered.join(winners, "__row", "left_semi").drop("__row")
+    conflicts = numbered.join(winners, "__row", "left_anti").drop("__row")
+    return table.unionByName(new_documents(added)), conflicts
+
+
+def _newest(changes: DataFrame, key: str, seq: str | None) -> DataFrame:
+    """One row per id: with ``seq`` the newest, else the rows as they are."""
+    return changes if seq is None else latest_per_key(changes, [key], [seq]).drop(seq)
 
-def index(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Insert or overwrite whole documents (``new`` has one row per id)."""
+
+def index(table: DataFrame, new: DataFrame, key: str, seq: str | None = None) -> DataFrame:
+    """Insert or overwrite whole documents. ``new`` has one row per id, or a
+    column ``seq``: then the newest row of an id counts."""
+    new = _newest(new, key, seq)
     fields = [c for c in new.columns if c != key]
     old = table.select(key, *[F.col(c).alias(f"__old_{c}") for c in fields], "version", "seq_no")
     both = old.join(new.withColumn("__new", F.lit(True)), key, "full")
@@ -44,15 +65,17 @@ def index(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def partial_update(
-    table: DataFrame, changes: DataFrame, key: str, check: Sequence[str] = ()
+    table: DataFrame, changes: DataFrame, key: str, check: Sequence[str] = (), seq: str | None = None
 ) -> DataFrame:
     """Merge the given (non-null) fields into existing documents.
 
-    ``changes`` has one row per id. Result: the new table plus ``result``, one
+    ``changes`` has one row per id, or a column ``seq``: then the newest row of
+    an id counts. Result: the new table plus ``result``, one
     of ``updated``, ``noop`` (nothing differs), ``conflict`` or null (not asked
     for). ``check`` names version columns that ``changes`` also carries, for
     instance ``seq_no``: where they differ the document stays as it is.
     """
+    changes = _newest(changes, key, seq)
     fields = [c for c in changes.columns if c != key and c not in check]
     asked = changes.select(
         key,
@@ -136,9 +159,16 @@ def reindex(table: DataFrame, fields: dict[str, Column], key: str, keep_version:
 
 
 def merge(
-    table: DataFrame, changes: DataFrame, key: str, deleted: str, fields: Sequence[str]
+    table: DataFrame,
+    changes: DataFrame,
+    key: str,
+    deleted: str,
+    fields: Sequence[str],
+    seq: str | None = None,
 ) -> DataFrame:
-    """Merge into: matched rows are updated or (flag ``deleted``) dropped, new ids added."""
+    """Merge into: matched rows are updated or (flag ``deleted``) dropped, new ids
+    added. ``changes`` has one row per id, or a column ``seq`` (newest counts)."""
+    changes = _newest(changes, key, seq)
     old = table.select(key, *[F.col(c).alias(f"__old_{c}") for c in fields], F.lit(True).alias("__had"))
     both = old.join(changes.withColumn("__asked", F.lit(True)), key, "full")
     asked = F.col("__asked").isNotNull()

@@ -50,11 +50,18 @@ _LOG_TEXTS = [
     "create view big_{m} as select * from customer where c_custkey in (select user_id from events) -- from labels",
     "with recent as (select * from documents where doc_id > {k}), few as (select 1 from recent) select * from few join pages p on true",
     "select extract(year from o_orderdate) from Orders",
+    "select * from orders a join customer b on a.o_custkey is distinct from b.c_custkey where trim(both 'x' from c_name) = '{k}'",
+    "select * from (select 1 from region) x, nation tablesample (10 percent) n, `part` p where x.r = {k}",
+    "with recursive q as (select * from supplier), z(n) as (select 1 from q) delete from labels where doc_id in (select n from z)",
+    'create table kept_{m} as select * from "pages" where page_id = {k}',
+    "merge into customer using (select * from events) e on c_custkey = e.user_id when matched then update set c_name = '{k}'",
 ]
 # Expected (table, role) pairs per shape, written by hand.
 _LOG_TABLES = """(0, 'orders', 'read'), (0, 'lineitem', 'read'), (1, 'part', 'write'), (1, 'supplier', 'read'),
     (1, 'nation', 'read'), (2, 'big_', 'view'), (2, 'customer', 'read'), (2, 'events', 'read'),
-    (3, 'documents', 'read'), (3, 'pages', 'read'), (4, 'orders', 'read')"""
+    (3, 'documents', 'read'), (3, 'pages', 'read'), (4, 'orders', 'read'), (5, 'orders', 'read'), (5, 'customer', 'read'),
+    (6, 'region', 'read'), (6, 'nation', 'read'), (6, 'part', 'read'), (7, 'supplier', 'read'), (7, 'labels', 'write'),
+    (8, 'kept_', 'write'), (8, 'pages', 'read'), (9, 'customer', 'write'), (9, 'events', 'read')"""
 
 
 def _query_log(spark, sf):
@@ -71,41 +78,40 @@ def _query_log(spark, sf):
 
 @query(
     "querylog_lineage",
-    f"""SELECT o_orderkey AS query_id, CASE WHEN t = 'big_' THEN 'big_' || (o_orderkey % 7) ELSE t END AS "table", role
-        FROM orders JOIN (VALUES {_LOG_TABLES}) AS e(shape, t, role) ON o_orderkey % 5 = shape""",
+    f"""SELECT o_orderkey AS query_id, CASE WHEN t IN ('big_', 'kept_') THEN t || (o_orderkey % 7) ELSE t END AS "table", role
+        FROM orders JOIN (VALUES {_LOG_TABLES}) AS e(shape, t, role) ON o_orderkey % 10 = shape""",
 )
 def querylog_lineage(spark, sf):
     return tj.query_tables(_query_log(spark, sf), "query_id", "sql")
 
 
+# Parts of page addresses and the kind of page they tell.
+_URL_KINDS = {"blog.": "Blog", "spam-farm": "Spam", "utm_source": "Feed", "page": "List"}
+_KIND_CASES = " ".join(
+    f"WHEN contains(url, '{part}') THEN struct_pack(part := '{part}', role := '{role}')"
+    for part, role in sorted(_URL_KINDS.items(), key=lambda kv: -len(kv[0]))
+)
+
+
 @query(
     "tag_by_dictionary",
-    """SELECT page_id, role, CASE WHEN part = '' THEN 'unknow' ELSE part || '-' || page_id END AS node FROM pages JOIN (VALUES
-         (0, 'taskexecutor', 'TaskManager'), (1, 'zookeeper', 'FlinkZooKeeperQuorumPeer'), (2, 'historyserver', 'HistoryServer'),
-         (3, 'standalonesession', 'JobManager'), (4, 'standalonejob', 'JobManager'), (5, 'kubernetes-session', 'JobManager'),
-         (6, 'kubernetes-application', 'JobManager'), (7, 'kubernetes-taskmanager', 'TaskManager'), (8, '', 'unknow'))
-       AS d(k, part, role) ON page_id % 9 = k""",
+    f"""SELECT page_id, coalesce(k.role, 'unknow') AS role,
+              CASE WHEN k IS NULL THEN 'unknow' ELSE substr(url, strpos(url, k.part), length(url) - 3 - strpos(url, k.part)) END AS node
+        FROM (SELECT page_id, url, CASE {_KIND_CASES} END AS k FROM pages)""",
 )
 def tag_by_dictionary(spark, sf):
-    """Log file names made from the pages, each with one of the known parts or none."""
-    parts = [*tj.LOG_ROLES, "gateway"]
-    part = F.element_at(F.array(*[F.lit(p) for p in parts]), (F.col("page_id") % 9 + 1).cast("int"))
-    pages = load(spark, sf, "pages").select(
-        "page_id", F.concat(F.lit("app-"), part, F.lit("-"), F.col("page_id").cast("string"), F.lit(".log")).alias("file")
-    )
-    role, node = tj.tag_log_file(F.col("file"))
-    return pages.select("page_id", role.alias("role"), node.alias("node"))
+    role, node = tj.tag_log_file(F.col("url"), _URL_KINDS)
+    return load(spark, sf, "pages").select("page_id", role.alias("role"), node.alias("node"))
 
 
 @query(
     "tag_by_table",
     """SELECT event_id, coalesce(role, 'other') AS role FROM events LEFT JOIN
-         (SELECT DISTINCT o_custkey AS user_id, 'buyer' AS role FROM orders WHERE o_totalprice > 300000) USING (user_id)""",
+         (SELECT DISTINCT o_custkey AS user_id, 'buyer' AS role FROM orders) USING (user_id)""",
 )
 def tag_by_table(spark, sf):
     buyers = (
         load(spark, sf, "orders")
-        .where("o_totalprice > 300000")
         .select(F.col("o_custkey").alias("user_id"))
         .distinct()
         .withColumn("role", F.lit("buyer"))
@@ -130,19 +136,17 @@ def anagram_groups(spark, sf):
 
 @query(
     "text_flags",
-    """SELECT p_partkey, reverse(squeezed) = squeezed AS palindrome,
-              contains(p_name || ' ' || p_name || ' ', turned) AND length(p_name) + 1 = length(turned) AS rotation
-       FROM (SELECT p_partkey, p_name, p_name[1:2] || p_type[1:1] || p_name[1:2] AS squeezed,
-                    split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) || (CASE WHEN p_size % 2 = 0 THEN ' ' ELSE '!' END) AS turned
-             FROM part)""",
+    """SELECT p_partkey, word, reverse(word) = word AS palindrome, contains(word || word, reverse(word)) AS rotation
+       FROM (SELECT p_partkey, unnest(string_split(p_name || ' ' || p_type || ' ' || p_partkey, ' ')) AS word FROM part)""",
 )
 def text_flags(spark, sf):
-    name = F.col("p_name")
-    squeezed = F.concat(F.substring(name, 1, 2), F.substring("p_type", 1, 1), F.substring(name, 1, 2))
-    ending = F.when(F.col("p_size") % 2 == 0, " ").otherwise("!")
-    turned = F.concat(F.split_part(name, F.lit(" "), F.lit(2)), F.lit(" "), F.split_part(name, F.lit(" "), F.lit(1)), ending)
-    return load(spark, sf, "part").select(
+    """Flags of every token of the name, the type and the number: does it read
+    the same backwards, do its letters, turned round, begin elsewhere in it."""
+    tokens = F.explode(F.split(F.concat_ws(" ", "p_name", "p_type", F.col("p_partkey").cast("string")), " "))
+    words = load(spark, sf, "part").select("p_partkey", tokens.alias("word"))
+    return words.select(
         "p_partkey",
-        tj.is_palindrome(squeezed).alias("palindrome"),
-        tj.is_rotation(F.concat(name, F.lit(" ")), turned).alias("rotation"),
+        "word",
+        tj.is_palindrome(F.col("word")).alias("palindrome"),
+        tj.is_rotation(F.col("word"), F.reverse("word")).alias("rotation"),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,20 +43,19 @@ def build_session(
 
 
 def work_dir(spark: SparkSession, label: str = "run") -> str:
-    """A new folder path that every executor can reach.
-
-    Clusters name a shared folder in ``spark.checkpoint.dir``. Only a local
-    master, where driver and executors are one process, may use ``/tmp``.
-    """
+    """A new folder path that every executor can reach, under the folder that
+    the session names in ``spark.checkpoint.dir``."""
     leaf = f"{label}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/{leaf}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{tempfile.mkdtemp(prefix='millrace-')}/{leaf}"
+    if spark.sparkContext.master.startswith("local"):
+        # driver and executors are one machine: the warehouse serves for sessions
+        # of somebody else that name no folder
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work/{leaf}"
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def written(spark: SparkSession, df, label: str = "table"):

@@ -6,21 +6,37 @@ can reach them whatever the warehouse setting is.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _text(value: object) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _partition(spec: dict[str, object]) -> str:
+    return ", ".join(f"{k} = {_text(v)}" for k, v in spec.items())
+
+
+def _view(df: DataFrame) -> str:
+    """A temporary view nobody else uses."""
+    name = f"source_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def create_as(df: DataFrame, table: str, path: str, comment: str = "", **options: str) -> None:
     """CREATE TABLE ... AS SELECT, with comment and properties."""
     spark = df.sparkSession
-    view = f"{table}_source"
-    df.createOrReplaceTempView(view)
-    properties = ", ".join(f"'{k}' = '{v}'" for k, v in options.items())
+    view = _view(df)
+    properties = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in options.items())
     spark.sql(
-        f"CREATE TABLE {table} USING parquet LOCATION '{path}'"
-        + (f" COMMENT '{comment}'" if comment else "")
+        f"CREATE TABLE {table} USING parquet LOCATION {_text(path)}"
+        + (f" COMMENT {_text(comment)}" if comment else "")
         + (f" TBLPROPERTIES ({properties})" if properties else "")
         + f" AS SELECT * FROM {view}"
     )
@@ -28,7 +44,7 @@ def create_as(df: DataFrame, table: str, path: str, comment: str = "", **options
 
 
 def create_like(spark: SparkSession, table: str, like: str, path: str) -> None:
-    spark.sql(f"CREATE TABLE {table} LIKE {like} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {table} LIKE {like} LOCATION {_text(path)}")
 
 
 def write_partitioned(df: DataFrame, table: str, path: str | None, by: Sequence[str]) -> None:
@@ -48,11 +64,9 @@ def insert_dynamic(df: DataFrame, table: str) -> None:
 def overwrite_partition(df: DataFrame, table: str, spec: dict[str, object]) -> None:
     """Replace one partition and leave the others alone."""
     spark = df.sparkSession
-    view = f"{table}_overwrite"
-    df.createOrReplaceTempView(view)
-    keys = ", ".join(f"{k} = '{v}'" for k, v in spec.items())
+    view = _view(df)
     columns = ", ".join(c for c in spark.table(table).columns if c not in spec)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({keys}) SELECT {columns} FROM {view}")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({_partition(spec)}) SELECT {columns} FROM {view}")
     spark.catalog.dropTempView(view)
 
 
@@ -90,13 +104,13 @@ def load_files(spark: SparkSession, source: str, table: str, overwrite: bool = F
 
 def export(df: DataFrame, path: str, kind: str = "parquet") -> None:
     """Write a query result to a folder."""
-    df.createOrReplaceTempView("export_source")
-    df.sparkSession.sql(f"INSERT OVERWRITE DIRECTORY '{path}' USING {kind} SELECT * FROM export_source")
+    view = _view(df)
+    df.sparkSession.sql(f"INSERT OVERWRITE DIRECTORY {_text(path)} USING {kind} SELECT * FROM {view}")
+    df.sparkSession.catalog.dropTempView(view)
 
 
 def truncate_partition(spark: SparkSession, table: str, spec: dict[str, object]) -> None:
-    keys = ", ".join(f"{k} = '{v}'" for k, v in spec.items())
-    spark.sql(f"TRUNCATE TABLE {table} PARTITION ({keys})")
+    spark.sql(f"TRUNCATE TABLE {table} PARTITION ({_partition(spec)})")
 
 
 def repair(spark: SparkSession, table: str) -> None:
@@ -105,8 +119,7 @@ def repair(spark: SparkSession, table: str) -> None:
 
 
 def add_partition(spark: SparkSession, table: str, spec: dict[str, object], path: str) -> None:
-    keys = ", ".join(f"{k} = '{v}'" for k, v in spec.items())
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({keys}) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_partition(spec)}) LOCATION {_text(path)}")
 
 
 def compact(df: DataFrame, *by: str) -> DataFrame:

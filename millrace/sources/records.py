@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -90,8 +90,19 @@ def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def stamped(time: Column, value: Column) -> Column:
-    """``<milliseconds>,<value>``"""
-    return F.concat_ws(",", F.unix_millis(time.cast("timestamp")).cast("string"), value)
+    """``<milliseconds>,<value>``; null for a record without a value."""
+    return F.concat(F.unix_millis(time.cast("timestamp")).cast("string"), F.lit(","), value)
+
+
+def write_counted(df: DataFrame, value: str, path: str) -> tuple[int, int]:
+    """Write the text column ``value`` and count, on the way, the records that
+    went out and those that could not (no value)."""
+    seen = Observation()
+    counted = df.observe(
+        seen, F.count(value).alias("sent"), F.count_if(F.col(value).isNull()).alias("failed")
+    )
+    counted.where(F.col(value).isNotNull()).select(value).write.text(path)
+    return seen.get["sent"], seen.get["failed"]
 
 
 def write_text(df: DataFrame, path: str, compression: str = "none") -> None:

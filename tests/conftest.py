@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,7 +20,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            "spark.sql.warehouse.dir": "/tmp/millrace-warehouse",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="millrace-warehouse-"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="millrace-work-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

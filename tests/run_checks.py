@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -23,7 +24,8 @@ def main():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            "spark.sql.warehouse.dir": "/tmp/millrace-warehouse",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="millrace-warehouse-"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="millrace-work-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
