@@ -14,7 +14,7 @@ from tests import oracle
 from tests.llm import brute
 
 
-def placed(spark, rows, shards=4, n=64):
+def placed(spark, rows, shards=4, n=4096):
     docs = spark.createDataFrame(rows, "doc_id long, text string, shard int, slot int")
     return [r.asDict() for r in slots.assign(docs, work_dir(spark, "slots"), shards, n).collect()]
 
@@ -54,8 +54,8 @@ def test_a_map_is_edited_not_redone_when_a_shard_is_added(spark):
     old = {(r["vslot"], r["piece"]): r["shard"] for r in slots.load_map(spark, path, 1).collect()}
     new = {(r["vslot"], r["piece"]): (r["shard"], r["bytes"]) for r in grown.collect()}
     assert old.keys() == new.keys()
-    moved = [k for k in old if old[k] != new[k][0]]
-    assert len(moved) < 0.3 * len(old)
+    moved = sum(size for k, (shard, size) in new.items() if old[k] != shard)
+    assert moved < 0.25 * sum(size for _, size in new.values())  # a fifth goes to the new shard
     load = collections.Counter()
     for shard, size in new.values():
         load[shard] += size
@@ -176,9 +176,10 @@ def test_pseudonym_query_leaves_no_number(spark, sf):
     old = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
     got = {r["doc_id"]: (r["text"], r["n_private"]) for r in QUERIES["op4_feistel_pseudonyms"](spark, sf).collect()}
     assert got.keys() == old.keys()
-    private = re.compile(r"\S+@\S+\.\S+|(?<!\d)\d{16}(?!\d)|\(\d{3}\) \d{3}-\d{4}|\d+\.\d+\.\d+\.\d+")
+    private = re.compile(r"\S+@\S+\.\S+|(?<!\d)\d{16}(?!\d)|\([2-9]\d\d\) \d{3}-\d{4}|\d+\.\d+\.\d+\.\d+")
     for doc_id, text in old.items():
         new, n = got[doc_id]
-        values = set(private.findall(text or ""))
+        # numbers of card length that fail the checksum are no cards and stay
+        values = {v for v in private.findall(text or "") if not re.fullmatch(r"\d{16}", v) or brute.luhn(v)}
         assert not values & set(private.findall(new or ""))
-        assert bool(n) or new == text
+        assert (n > 0 or not values) and (n > 0 or new == text)
