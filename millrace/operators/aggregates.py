@@ -8,7 +8,6 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators.joins import HOT_ROWS, hot_keys
