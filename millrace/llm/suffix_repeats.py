@@ -436,6 +436,8 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", grou
     )
     found = written(spark, _all([whole, _trees(groups, length), *spans]), "spans")
     widest = found.groupBy("gram", "u1", "u2").agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
+    # stored, so that the planner may split a busy key of the join at run time
+    widest = written(spark, widest, "widest")
     place = F.shiftright("at", 32)
     return (
         candidates.join(widest, ["gram", "u1", "u2"])
