@@ -123,7 +123,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
         .groupBy("key")
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
-    return covered.join(found, "key", "left")
+    # stored, so that joins with documents may split a text with many copies
+    return written(spark, covered.join(found, "key", "left"), "contaminated")
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
