@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from millrace.llm.texts import OWN, require
 
 #: Labelled texts of each class that the model is fitted on, in expectation.
-PER_CLASS = 6_000
+PER_CLASS = 4_000
 FOLDS = 5
 FEATURE_BITS = 20
 SPARSITY = 3e-5
@@ -173,9 +173,7 @@ def fit(rows: DataFrame, sparsity: float = SPARSITY, fairness: float = FAIRNESS)
     size = 1 << FEATURE_BITS
     # Only features whose share of toxic texts differs clearly from the average.
     spread = np.sqrt((c**2).sum() * base * (1 - base))
-    mass = np.bincount(flat, weights=c[owner], minlength=size)
-    toxic = np.bincount(flat, weights=(c * y)[owner], minlength=size)
-    seen = np.bincount(flat, minlength=size)
+    mass, toxic, seen = (_sums(flat, owner, v, size) for v in (c, c * y, np.ones(len(y))))
     lean = np.abs(toxic - mass * base) / (spread * np.sqrt(np.maximum(mass, 1e-12)))
     kept = np.flatnonzero((lean > LEAST_LEAN) & (seen >= LEAST_TEXTS))
     place = np.full(size, -1)
@@ -209,7 +207,15 @@ def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(whole, pa.ChunkedArray):
         whole = pa.concat_arrays(whole.chunks) if whole.num_chunks else pa.array([], lists.type)
     sizes = np.diff(whole.offsets.to_numpy())
-    return whole.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)
+    return whole.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+
+def _sums(flat: np.ndarray, owner: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    """Per feature the weights of the rows that have it, a piece at a time."""
+    out, step = np.zeros(size), 1 << 22
+    for i in range(0, len(flat), step):
+        out += np.bincount(flat[i : i + step], weights=weights[owner[i : i + step]], minlength=size)
+    return out
 
 
 def _only(place: np.ndarray, flat: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
