@@ -25,6 +25,8 @@ Native expressions only, one pass, no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +43,19 @@ PATTERNS = {
     "ip": f"(?<![\\w.])(?:{_OCTET}\\.){{3}}{_OCTET}(?![\\w]|\\.\\d)",
     "ssn": "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
     "phone": "(?<![\\w])(?:\\+1[ .-]?)?(?:\\([2-9]\\d{2}\\) ?|[2-9]\\d{2}[ .-])\\d{3}[ .-]\\d{4}(?!\\w)",
-    "card": "(?<![\\w-])\\d(?:[ -]?\\d){12,18}(?![\\w-])",
+    "card": "",
     "secret": "(?<![\\w])(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,}(?!\\w)",
 }
+# A card is searched for in a whole run of digit groups, however many there are
+# (:func:`_cards`); the run ends before a group that begins another kind of value.
+_GROUP = "\\d++(?!\\w|-[^\\W\\d])"
+_OTHER = "|".join(PATTERNS[k] for k in ("email", "date", "ip", "ssn", "phone"))
+PATTERNS["card"] = f"(?<![\\w-])(?=\\d(?:[ -]?\\d){{12}}){_GROUP}(?:[ -](?!{_OTHER}){_GROUP})*+"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
+#: Sizes of the digit groups that cards are printed in.
+PRINTED = ["4-4-4-4", "4-6-5", "4-6-4", "4-4-4-4-3", *map(str, range(13, 20))]
+
 # 400 Gregorian years from 1800-01-01 are 146,097 days = 773 * 189
 _DAY0, _DAYS, _A, _B = "1800-01-01", 146_097, 773, 189
 _HEX = "0123456789abcdef"
@@ -112,6 +122,86 @@ def luhn_total(digits: Column) -> Column:
     )
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _cards(value: Column, key: str) -> Column:
+    """Struct (value, n) of a run of digit groups: the run with its cards
+    replaced and their number.
+
+    Each part of the run from one group to another with 13-19 digits that
+    passes the Luhn check is a card, at each group the longest one. Parts in
+    printed groupings go first: others that reach into one are no cards.
+    """
+
+    def part(groups: Column, first: Column, last: Column) -> Column:
+        return F.array_join(F.slice(groups, first + 1, last - first + 1), "")
+
+    def ends(groups: Column, i: Column) -> Column:
+        """Last groups of the cards that begin at group ``i``, and whether their grouping is a printed one."""
+
+        def end(j: Column) -> Column:
+            digits = F.translate(part(groups, i, j), " -", "")
+            return F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+
+        def sizes(j: Column) -> Column:
+            one = F.slice(groups, i + 1, j - i + 1)
+            return F.array_join(F.transform(one, lambda g: F.length(F.ltrim(F.translate(g, "-", " "))).cast("string")), "-")
+
+        valid = F.filter(F.sequence(i, F.least(i + 18, F.size(groups) - 1)), end)
+        return F.transform(valid, lambda j: F.struct(j.alias("end"), sizes(j).isin(PRINTED).alias("printed")))
+
+    def best(groups: Column, i: Column) -> Column:
+        last = lambda e: F.coalesce(F.array_max(F.transform(e, lambda x: x["end"])), F.lit(-1))
+        return _let(
+            ends(groups, i),
+            lambda e: F.struct(last(e).alias("any"), last(F.filter(e, lambda x: x["printed"])).alias("printed")),
+        )
+
+    def chosen(ends: Column) -> Column:
+        """First and last groups of the cards, none of which overlap."""
+
+        def step(state: Column, i: Column) -> Column:
+            here = F.element_at(ends, i + 1)
+            inside = F.slice(ends, i + 2, F.greatest(here["any"] - i, F.lit(0)))
+            free = ~F.exists(inside, lambda e: e["printed"] >= 0)
+            end = F.when(here["printed"] >= 0, here["printed"]).when(free, here["any"]).otherwise(F.lit(-1))
+            take = lambda j: F.struct(
+                (j + 1).alias("next"),
+                F.concat(state["cards"], F.array(F.struct(i.alias("first"), j.alias("last")))).alias("cards"),
+            )
+            return F.when((i < state["next"]) | (here["any"] < 0), state).otherwise(
+                _let(end, lambda j: F.when(j >= 0, take(j)).otherwise(state))
+            )
+
+        start = F.struct(F.lit(0).alias("next"), F.expr("cast(array() as array<struct<first:int,last:int>>)").alias("cards"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(ends) - 1), start, step, lambda state: state["cards"])
+
+    def rebuilt(groups: Column, cards: Column) -> Column:
+        after = lambda k: F.coalesce(F.get(cards, k)["last"] + 1, F.lit(0))
+        new = F.transform(
+            cards,
+            lambda c, k: F.concat(
+                part(groups, after(k - 1), c["first"] - 1), _card(part(groups, c["first"], c["last"]), key)
+            ),
+        )
+        rest = part(groups, after(F.size(cards) - 1), F.size(groups) - 1)
+        return F.struct(F.concat(F.array_join(new, ""), rest).alias("value"), F.size(cards).alias("n"))
+
+    # each group with the separator before it
+    groups = F.regexp_extract_all(value, F.lit("[ -]?\\d+"), F.lit(0))
+    made = _let(
+        groups,
+        lambda g: _let(
+            _let(F.transform(F.sequence(F.lit(0), F.size(g) - 1), lambda i: best(g, i)), chosen),
+            lambda c: rebuilt(g, c),
+        ),
+    )
+    return _let(made, lambda m: F.when(m["n"] > 0, m))
+
+
 def _card(value: Column, key: str) -> Column:
     digits = _digits(value)
     n = F.size(digits)
@@ -120,7 +210,7 @@ def _card(value: Column, key: str) -> Column:
     moved = feistel(F.concat(F.slice(digits, 1, n - 1), F.array(F.lit(0))), radices, F.lit("card"), key)
     check = lambda d: F.concat(F.slice(d, 1, n - 1), F.array((10 - luhn_total(d) % 10) % 10))
     whole = F.get(F.transform(F.array(moved), check), F.lit(0))
-    return F.when((luhn_total(digits) % 10 == 0) & n.between(13, 19), _refill(value, whole))
+    return _refill(value, whole)
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -194,21 +284,27 @@ def _secret(value: Column, key: str) -> Column:
     return F.array_join(F.transform(moved, lambda v: F.substr(F.lit(_HEX), v + 1, F.lit(1))), "")
 
 
-_MAKERS = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card, "secret": _secret}
+_MAKERS = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _cards, "secret": _secret}
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """Struct (kind, value) for one matched string; null kind if it is not valid."""
+    """Struct (kind, value, n) for one matched string, with the number of values
+    in it; null kind if none is valid."""
     out = None
     for kind, pattern in PATTERNS.items():
-        made = F.struct(F.lit(kind).alias("kind"), _MAKERS[kind](value, key).alias("value"))
+        new = _MAKERS[kind](value, key)
+        if kind != "card":
+            new = F.struct(new.alias("value"), F.lit(1).alias("n"))
+        made = _let(new, lambda v: F.struct(F.lit(kind).alias("kind"), v["value"].alias("value"), v["n"].alias("n")))  # noqa: B023
         hit = value.rlike(f"^(?:{pattern})\\z")
         out = F.when(hit, made) if out is None else out.when(hit, made)
     return F.get(
         F.transform(
             F.array(out),
             lambda p: F.struct(
-                F.when(p["value"].isNotNull(), p["kind"]).alias("kind"), F.coalesce(p["value"], value).alias("value")
+                F.when(p["value"].isNotNull(), p["kind"]).alias("kind"),
+                F.coalesce(p["value"], value).alias("value"),
+                F.when(p["value"].isNotNull(), p["n"]).otherwise(0).alias("n"),
             ),
         ),
         F.lit(0),
@@ -237,6 +333,6 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         .withColumn(made, F.transform(found, lambda m: pseudonym(m, key)))
         .select(
             *[c for c, n in zip(columns, docs.columns) if n != "n_private"],
-            F.coalesce(F.size(F.filter(made, lambda m: m["kind"].isNotNull())), F.lit(0)).cast("long").alias("n_private"),
+            F.coalesce(F.aggregate(made, F.lit(0), lambda n, m: n + m["n"]), F.lit(0)).cast("long").alias("n_private"),
         )
     )

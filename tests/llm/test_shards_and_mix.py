@@ -156,6 +156,31 @@ def test_invalid_numbers_and_plain_texts_stay(spark):
     assert replaced(spark, texts) == [(t, 0) for t in texts]
 
 
+def test_cards_beside_other_numbers_are_found(spark):
+    card = "4111 1111 1111 1111"
+    around = [
+        "{} 12/25", "{} 123", "order 12 {}", "2026 {}", "7 {} 12/25 123", "12-{}", "{}-123", "{} 12/25/2027 x",
+        "room 5 6 7 {} 8 9 10 11", " ".join(["17"] * 300) + " {}", "4111 1111 1111 1112 {}",
+    ]
+    others = ["4111111111111111", "3782 822463 10005", "41111111-11111111"]
+    (alone, _), *got = replaced(spark, [card, *[a.format(card) for a in around], *others, *[o + " 123" for o in others]])
+    assert alone != card and brute.luhn(alone)
+    for text, (new, n) in zip(around, got):
+        assert alone in new and card not in new and n >= 1, text
+    for old, (new, _), beside in zip(others, got[len(around) :], got[-len(others) :]):
+        assert old != new and beside == (f"{new} 123", 1)
+
+
+def test_a_run_of_digits_ends_where_another_value_begins(spark):
+    card = "4111 1111 1111 1111"
+    values = ["988-555-2485", "123-45-6789", "2024-01-15", "10.1.2.3", "ann.b@example.com", "5500 0000 0000 0004"]
+    forms = ["{c} {v}", "{v} {c}", "12 {c} 7 {v}"]
+    texts = [f.format(c=card, v=v) for v in values for f in forms]
+    (new_card, _), *got = replaced(spark, [card, *values, *texts])
+    want = [(f.format(c=new_card, v=new), 2) for new, _ in got[: len(values)] for f in forms]
+    assert got[len(values) :] == want
+
+
 def test_permutations_are_bijections(spark):
     days = spark.range(3000).select(
         F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text")
