@@ -8,17 +8,17 @@ values of one format, so equal values get equal pseudonyms in every document and
 different values different ones; the key's holder can invert it. Values that
 fail validation (checksum, calendar, range) are no such numbers and stay.
 
-====== ======================================= ==================================
+====== ======================================= ===========================================
 kind   validated by                            kept as it is
-====== ======================================= ==================================
+====== ======================================= ===========================================
 card   13-19 digits, Luhn checksum             first digit, separators; new check digit
 ssn    area, group and serial in range         separators
 date   the calendar, years 1800-2199           format; result is a real date
 phone  ten digits, first of area 2-9           country code, separators
 ip     four octets of 0-255                    first octet 1-223 stays in 1-223
 email  syntax                                  domain, punctuation
-secret 16+ hexadecimal digits, both kinds      length
-====== ======================================= ==================================
+secret 16+ hexadecimal digits, both kinds      length, case (mixed: letters and digits, too)
+====== ======================================= ===========================================
 
 Native expressions only, one pass, no shuffle.
 """
@@ -39,12 +39,14 @@ ROUNDS = 8
 _OCTET = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 PATTERNS = {
     "email": "[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\\.)+[A-Za-z]{2,24}",
-    "date": "(?<![\\w./-])(?:\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4}|\\d{2}\\.\\d{2}\\.\\d{4})(?![\\w/-]|\\.\\d)",
+    # a T and a time may follow
+    "date": "(?<![\\w./-])(?:\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4}|\\d{2}\\.\\d{2}\\.\\d{4})"
+    "(?!(?![Tt]\\d{2})\\w|[/-]|\\.\\d)",
     "ip": f"(?<![\\w.])(?:{_OCTET}\\.){{3}}{_OCTET}(?![\\w]|\\.\\d)",
     "ssn": "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
     "phone": "(?<![\\w])(?:\\+1[ .-]?)?(?:\\([2-9]\\d{2}\\) ?|[2-9]\\d{2}[ .-])\\d{3}[ .-]\\d{4}(?!\\w)",
     "card": "",
-    "secret": "(?<![\\w])(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,}(?!\\w)",
+    "secret": "(?<![\\w])(?=[0-9A-Fa-f]*[A-Fa-f])(?=[0-9A-Fa-f]*[0-9])[0-9A-Fa-f]{16,}(?!\\w)",
 }
 # A card is searched for in a whole run of digit groups, however many there are
 # (:func:`_cards`); the run ends before a group that begins another kind of value.
@@ -279,9 +281,19 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _secret(value: Column, key: str) -> Column:
-    coded = F.transform(_chars(value), lambda c: F.instr(F.lit(_HEX), c) - 1)
-    moved = feistel(coded, _numbers(F.length(value), 16), F.lit("secret"), key)
-    return F.array_join(F.transform(moved, lambda v: F.substr(F.lit(_HEX), v + 1, F.lit(1))), "")
+    lower, upper = F.lower(value), F.upper(value)
+    coded = F.transform(_chars(lower), lambda c: F.instr(F.lit(_HEX), c) - 1)
+    # in mixed case a digit has no case to give to a letter: digits stay digits and each letter keeps its case
+    mixed = (value != lower) & (value != upper)
+    base = F.transform(coded, lambda v: F.when(mixed & (v > 9), 10).otherwise(0))
+    radices = F.transform(coded, lambda v: F.when(~mixed, 16).when(v > 9, 6).otherwise(10))
+    moved = feistel(F.zip_with(coded, base, lambda v, b: v - b), radices, F.lit("secret"), key)
+    new = F.transform(
+        F.zip_with(moved, base, lambda v, b: v + b), lambda v: F.substr(F.lit(_HEX), v + 1, F.lit(1))
+    )
+    cased = F.zip_with(_chars(value), new, lambda c, v: F.when(c.between("A", "F"), F.upper(v)).otherwise(v))
+    joined = F.array_join(F.when(mixed, cased).otherwise(new), "")
+    return F.when(~mixed & (value == upper), F.upper(joined)).otherwise(joined)
 
 
 _MAKERS = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _cards, "secret": _secret}

@@ -208,3 +208,27 @@ def test_pseudonym_query_leaves_no_number(spark, sf):
         values = {v for v in private.findall(text or "") if not re.fullmatch(r"\d{16}", v) or brute.luhn(v)}
         assert not values & set(private.findall(new or ""))
         assert (n > 0 or not values) and (n > 0 or new == text)
+
+
+def test_secrets_of_both_cases_and_dates_before_a_time(spark):
+    low, mixed = "9233a8ec41d07f65b0c1d2e3f4a5329b", "9233A8eC41d07F65b0C1d2E3f4a5329B"
+    (one, _), (two, _), (three, _), (day, _), *times = replaced(
+        spark, [low, low.upper(), mixed, "2024-01-15", "2024-01-15T10:00:30Z", "2024-01-15t10:00", "2024-01-15T", "2024-01-15x"]
+    )
+    assert one != low and re.fullmatch("[0-9a-f]{32}", one) and two == one.upper()
+    shape = lambda s: re.sub("[a-f]", "a", re.sub("[A-F]", "A", re.sub("[0-9]", "9", s)))
+    assert three != mixed and shape(three) == shape(mixed)
+    assert day != "2024-01-15"
+    assert times == [(f"{day}T10:00:30Z", 1), (f"{day}t10:00", 1), ("2024-01-15T", 0), ("2024-01-15x", 0)]
+
+
+def test_pseudonym_query_leaves_no_secret_and_no_date(spark):
+    folder = "/root/testdata/sf0.01"
+    old = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    private = re.compile(r"(?<!\w)(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{16,}(?!\w)|(?<![\w./-])(?:18|19|20|21)\d\d-(?:0[1-9]|1[0-2])-(?:[01][1-9]|2[0-8])(?=T\d\d|[^\w./-]|$)")
+    found = 0
+    for r in QUERIES["op4_feistel_pseudonyms"](spark, folder).collect():
+        values = set(private.findall(old[r["doc_id"]] or ""))
+        assert not values & set(private.findall(r["text"] or ""))
+        found += len(values)
+    assert found
