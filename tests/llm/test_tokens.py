@@ -74,6 +74,31 @@ def test_budgets_are_lookups(spark, library):
     assert tuple(cut["z"]) == (0, 0)
 
 
+def test_prefixes_inside_runs_equal_the_library(library):
+    mine, r = tokens.Segments(tokenizer_file()), random.Random(8)
+    words = ["unbelievable", "aaaaaaaaaa", "can't've'rex", "''re", "'ſ", "İstanbul", "http://a.b/c?d=12&e=FF", "é" * 9]
+    words += ["日本語の文章です" * 6, "한국어", "ภาษาไทยที่นี่", "=====!!'s", "<|endoftext|>a<|endoftext", "QUJDRA==" * 5, "ΑΣΑΣ"]
+    words += ["".join(r.choice([*"aab'reslvtdmE.é日½7́", "'ll", "<|endoftext|>"]) for _ in range(20)) for _ in range(500)]
+    for w in words:
+        assert mine.prefixes(w) == [len(ids(library, w[: i + 1])) for i in range(len(w))], w
+
+
+def test_budgets_end_inside_long_runs(spark, library, monkeypatch):
+    r = random.Random(5)
+    long = "".join(r.choice("的一是不了人我在有他这中大来上国") for _ in range(6000))
+    texts = [long, "one two " + "abcdefgh" * 40]
+    df = tokens.prefix_counts(spark.createDataFrame([(t,) for t in texts], "text string"), tokenizer_file())
+    for row in df.select("*", tokens.tokens_within(2048).alias("c"), tokens.tokens_within(20).alias("d")).collect():
+        raw = row["text"].encode()
+        for cut, budget in ((row["c"], 2048), (row["d"], 20)):
+            kept = raw[: cut["n_bytes"]].decode()
+            assert len(ids(library, kept)) == cut["n_tokens"] <= budget
+            more = len(row["text"]) == len(kept) or len(ids(library, row["text"][: len(kept) + 1])) > budget
+            assert more and cut["n_bytes"] > 8
+    monkeypatch.setattr(tokens, "segments_of", None)
+    assert tokens.count_at(row["text"], row["prefix_ends"], row["prefix_tokens"], 50) == len(ids(library, row["text"][:50]))
+
+
 def test_counts_of_odd_rows_and_clashing_columns(spark):
     rows = [(None, None, 9), (None, None, 9), (1, "", 9), (2, "word " * 3000, 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
