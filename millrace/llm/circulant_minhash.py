@@ -20,27 +20,27 @@ of about 1e-8 (:func:`least_agreement`).
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.texts import OWN, content_key, require
+from millrace.llm.texts import OWN, content_key, require, require_whole, text_or_empty
 from millrace.operators.joins import lookup_join
-from millrace.session import written
+from millrace.session import Scratch, written
 
 SHINGLE = 5
 BANDS, ROWS = 40, 6
 COORDINATES = BANDS * ROWS
 DOMAIN_BITS = 20
-#: Nodes of a bucket, and bytes of their packed texts, that are compared with
-#: another such block at a time.
-BLOCK, BLOCK_BYTES = 256, 8 << 20
+#: Nodes of a bucket that are compared with another such block at a time.
+BLOCK = 256
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK_WORDS = 50_000
@@ -156,20 +156,20 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _texts(docs: DataFrame, ids: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id and compressed text of the given nodes, one row each, stored."""
+def _texts(temp: Scratch, docs: DataFrame, ids: DataFrame, nodes: DataFrame) -> DataFrame:
+    """id and compressed text of the given nodes, one row each, stored. Texts
+    are compressed before they are shuffled."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             packed = [packer.compress((t.as_py() or "").encode()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["key", "z"])
 
-    wanted = written(docs.sparkSession, ids.distinct().join(nodes.select("id", "key"), "id"), "wanted")
-    rows = docs.select(content_key().alias("key"), "text")
-    found = lookup_join(rows, wanted, ["key"], "inner").select("id", "text")
-    packed = found.mapInArrow(pack, "id long, z binary").groupBy("id").agg(F.first("z").alias("z"))
-    return written(docs.sparkSession, packed, "texts")
+    wanted = temp.written(ids.distinct().join(nodes.select("id", "key"), "id"), "wanted")
+    packed = docs.select(content_key().alias("key"), "text").mapInArrow(pack, "key binary, z binary")
+    found = lookup_join(packed, wanted, ["key"], "inner").select("id", "z")
+    return temp.written(found.groupBy("id").agg(F.first("z").alias("z")), "texts")
 
 
 def least_agreement(percent: int) -> int:
@@ -224,119 +224,149 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _between_components(placed: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _between_components(temp: Scratch, placed: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links between nodes of one bucket that have different labels.
 
     ``placed``: band, id, label of buckets with several labels. Nodes outside
     the bucket's most frequent label meet all nodes of the bucket, block by
-    block: no row holds more than two blocks of bounded size. A pair that shares
-    several buckets is compared in the first one, and not at all if links found
-    in the block already join the two labels. Links come out, never pairs."""
-    entries = (
-        placed.join(nodes.select("id", "bands", "agree"), "id")
-        .join(texts, "id")
-        .withColumn("size", F.octet_length("z").cast("long"))
-    )
-    sizes = entries.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    block; each pair of blocks is a row with a key of its own, so that a hot
+    bucket is dealt over all tasks. A pair that shares several buckets is met in
+    the first one. First only signatures meet; of the pairs of blocks where some
+    agree enough, the nodes concerned get their texts and are compared in full,
+    unless links found there already join the two labels. Links come out."""
+    rows = placed.join(nodes.select("id", "bands", "agree"), "id")
+    sizes = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
     main = sizes.groupBy("band").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"),
-        _blocks(F.sum("n"), F.sum("size")).alias("all_blocks"),
-        # all but the most frequent label
-        _blocks(F.sum("n") - F.max("n"), F.sum("size")).alias("few_blocks"),
+        blocks(F.sum("n")).alias("all_blocks"),
+        blocks(F.sum("n") - F.max("n")).alias("few_blocks"),  # all but the most frequent label
     )
-    rows = entries.join(main, "band")
-    entry = F.struct("id", "label", "agree", "bands", "z")
+    rows = rows.join(main, "band")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    def gathered(df: DataFrame, blocks: str, name: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.col(blocks))
-        return df.groupBy("band", block.alias("block")).agg(F.collect_list(entry).alias(name)).drop("block")
+    def gathered(df: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col(f"{own}_blocks")).cast("int").alias(own)
+        entry = F.collect_list(F.struct("id", "label", "agree", "bands")).alias(name)
+        one = df.groupBy("band", block, f"{other}_blocks").agg(entry)
+        return one.withColumn(other, every(f"{other}_blocks")).drop(f"{other}_blocks")
 
-    meeting = gathered(rows.where("label <> main"), "few_blocks", "few").join(gathered(rows, "all_blocks", "all"), "band")
+    few = gathered(rows.where("label <> main"), "few", "all", "few_nodes")
+    meeting = few.join(gathered(rows, "all", "few", "all_nodes"), ["band", "few", "all"])
     least = least_agreement(percent)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    class Block:
+        def __init__(self, rows: list[dict]) -> None:
+            self.ids = [r["id"] for r in rows]
+            self.labels = np.array([r["label"] for r in rows], dtype=np.int64)
+            self.agree = np.frombuffer(b"".join(r["agree"] for r in rows), np.uint8).reshape(-1, COORDINATES)
+            self.bands = np.array([r["bands"] for r in rows], dtype=np.int64)
+
+    def candidates(band: int, few: Block, every: Block) -> Iterator[tuple[int, int]]:
+        for i, label in enumerate(few.labels.tolist()):
+            close = ((every.agree == few.agree[i]).sum(axis=1) >= least) & (every.labels != label)
+            for j in np.flatnonzero(close).tolist():
+                if few.bands[i][int((few.bands[i] == every.bands[j]).argmax())] == band:
+                    yield i, j
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = batch.slice(r, 1).to_pylist()[0]
+                few, every = Block(row["few_nodes"]), Block(row["all_nodes"])
+                pairs = list(candidates(row["band"], few, every))
+                used = [*dict.fromkeys(i for i, _ in pairs)], [*dict.fromkeys(j for _, j in pairs)]
+                ids = [few.ids[i] for i in used[0]] + [every.ids[j] for j in used[1]]
+                kinds = (("band", pa.int64()), ("few", pa.int32()), ("all", pa.int32()))
+                columns = [pa.array([row[c]] * len(ids), t) for c, t in kinds]
+                side = [True] * len(used[0]) + [False] * len(used[1])
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(ids, pa.int64()), pa.array(side, pa.bool_())],
+                    names=["band", "few", "all", "id", "is_few"],
+                )
+
+    found = meeting.mapInArrow(signed, "band long, few int, all int, id long, is_few boolean")
+    found = temp.written(found, "candidates")
+    if found.isEmpty():
+        return temp.spark.createDataFrame([], "a long, b long")
+    texts = _texts(temp, docs, found.select("id"), nodes)
+    full = found.join(placed.select("id", "label").distinct(), "id").join(nodes.select("id", "bands", "agree"), "id")
+    full = full.join(texts, "id")
+    # at most two blocks of bounded size
+    groups = full.groupBy("band", "few", "all").agg(
+        F.collect_list(F.struct("is_few", "id", "label", "agree", "bands", "z")).alias("nodes")
+    )
+
+    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
 
-        class Block:
-            def __init__(self, rows: list[dict]) -> None:
-                self.ids = [r["id"] for r in rows]
-                self.labels = np.array([r["label"] for r in rows], dtype=np.int64)
-                self.agree = np.frombuffer(b"".join(r["agree"] for r in rows), np.uint8).reshape(-1, COORDINATES)
-                self.bands = np.array([r["bands"] for r in rows], dtype=np.int64)
-                self.packed = [r["z"] for r in rows]
-                self.sets: dict[int, np.ndarray] = {}
-
-            def set(self, i: int) -> np.ndarray:
-                if i not in self.sets:
-                    self.sets[i] = shingle_set(unpacker.decompress(self.packed[i]))
-                return self.sets[i]
-
-        def links(band: int, few: Block, every: Block) -> Iterator[tuple[int, int]]:
+        def links(band: int, rows: list[dict]) -> Iterator[tuple[int, int]]:
+            sides = [[r for r in rows if r["is_few"] == side] for side in (True, False)]
+            few, every = map(Block, sides)
+            sets: dict[int, np.ndarray] = {}
             joined: dict[int, int] = {}
 
+            def shingles(row: dict) -> np.ndarray:
+                if row["id"] not in sets:
+                    sets[row["id"]] = shingle_set(unpacker.decompress(row["z"]))
+                return sets[row["id"]]
+
             def root(x: int) -> int:
                 while joined.get(x, x) != x:
                     x = joined[x]
                 return x
 
-            for i, label in enumerate(few.labels.tolist()):
-                close = (every.agree == few.agree[i]).sum(axis=1) >= least
-                for j in np.flatnonzero(close & (every.labels != label)).tolist():
-                    x, y = root(label), root(int(every.labels[j]))
-                    first = int((few.bands[i] == every.bands[j]).argmax())
-                    if x != y and few.bands[i][first] == band and _linked(few.set(i), every.set(j), percent):
-                        joined[max(x, y)] = min(x, y)
-                        yield tuple(sorted((few.ids[i], every.ids[j])))
+            for i, j in candidates(band, few, every):
+                x, y = root(int(few.labels[i])), root(int(every.labels[j]))
+                if x != y and _linked(shingles(sides[0][i]), shingles(sides[1][j]), percent):
+                    joined[max(x, y)] = min(x, y)
+                    yield tuple(sorted((few.ids[i], every.ids[j])))
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                found = list(links(row["band"], Block(row["few"]), Block(row["all"])))
+            for r in range(batch.num_rows):
+                row = batch.slice(r, 1).to_pylist()[0]
+                found = list(links(row["band"], row["nodes"]))
                 columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    return meeting.select("band", "few", "all").mapInArrow(run, "a long, b long").distinct()
-
-
-def _blocks(n: Column, size: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES))).cast("long")
+    return groups.select("band", "nodes").mapInArrow(confirmed, "a long, b long").distinct()
 
 
 def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Stored signatures of the rows; and per node its label and low doc_id."""
+    """Stored signatures of the rows; and per node its label and low doc_id, stored."""
     spark = docs.sparkSession
     rows = written(spark, signatures(docs), "signatures")
-    nodes = (
-        rows.where("node is not null")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("low"),
-            F.first("key").alias("key"),
-            F.first("bands").alias("bands"),
-            F.first("agree").alias("agree"),
+    with Scratch(spark, "minhash") as temp:
+        nodes = (
+            rows.where("node is not null")
+            .groupBy("node")
+            .agg(
+                F.min("doc_id").alias("low"),
+                F.first("key").alias("key"),
+                F.first("bands").alias("bands"),
+                F.first("agree").alias("agree"),
+            )
+            .withColumn("id", F.monotonically_increasing_id())
         )
-        .withColumn("id", F.monotonically_increasing_id())
-    )
-    nodes = written(spark, nodes, "nodes")  # the numbers are fixed from here on
-    in_band = nodes.select("id", F.explode("bands").alias("band"))
-    shared = in_band.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last")
-    buckets = written(spark, in_band.join(shared.select("band", "a"), "band").select("band", "a", "id"), "buckets")
-    stars = buckets.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    pairs = written(spark, _agreeing(stars, nodes, least_agreement(percent)), "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    links = written(spark, _confirmed(pairs, _texts(docs, involved, nodes), percent), "links")
-    labels = components(links)
-
-    labelled = buckets.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    placed = written(spark, labelled.join(mixed.select("band"), "band"), "mixed")
-    texts = _texts(docs, placed.select("id"), nodes)
-    more = written(spark, _between_components(placed, nodes, texts, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
-
-    labels = written(spark, nodes.select("node", "id", "low").join(labels, "id", "left"), "labels")
-    return rows, labels.withColumn("label", F.coalesce("label", "id"))
+        nodes = temp.written(nodes, "nodes")  # the numbers are fixed from here on
+        in_band = nodes.select("id", F.explode("bands").alias("band"))
+        shared = in_band.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last")
+        buckets = temp.written(in_band.join(shared.select("band", "a"), "band").select("band", "a", "id"), "buckets")
+        stars = buckets.where("id <> a").select("a", F.col("id").alias("b")).distinct()
+        pairs = temp.written(_agreeing(stars, nodes, least_agreement(percent)), "pairs")
+        involved = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        links = temp.written(_confirmed(pairs, _texts(temp, docs, involved, nodes), percent), "links")
+        labels = components(links)
+
+        labelled = buckets.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
+        mixed = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+        placed = temp.written(labelled.join(mixed.select("band"), "band"), "mixed")
+        more = temp.written(_between_components(temp, placed, docs, nodes, percent), "links")
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
+        labels = nodes.select("node", "id", "low").join(labels, "id", "left")
+        labels = written(spark, labels.withColumn("label", F.coalesce("label", "id")), "labels")
+    return rows, labels
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -345,9 +375,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     component_id is the smallest doc_id among all rows linked directly or by
     others. Texts without words (null, empty, blank) are linked with nothing.
     Equal sets are linked, also those of short texts. Null ids are ignored in
-    the minimum; rows that share an id are kept or not together.
+    the minimum; rows that share an id are kept or not together. Ids are whole
+    numbers: others are refused.
     """
     require(docs, "doc_id", "text")
+    require_whole(docs, "doc_id")
     rows, labels = _grouped(docs, percent)
     lowest = labels.groupBy("label").agg(F.min("low").alias("lowest"))
     found = labels.join(lowest, "label").select("node", "lowest")
@@ -363,25 +395,31 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, columns as they
     are: the row with the smallest doc_id, of several such rows one. Rows
-    without words are all kept."""
+    without words are all kept. ``docs`` need not be a stored table: rows are
+    told by id and text, not by a number that another reading might change."""
     require(docs, "doc_id", "text")
+    require_whole(docs, "doc_id")
     rows, labels = _grouped(docs, percent)
-    # of each group the text key of a row with the smallest id
+    # of each group the text key of a row with the smallest id, and whether several rows have both
+    of_row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     least = (
         rows.where("node is not null")
+        .groupBy("node", of_row.alias("row"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .join(labels.select("node", "label"), "node")
         .groupBy("label")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("row"))
-        .select(F.col("row.doc_id").alias(f"{OWN}id"), F.col("row.key").alias(f"{OWN}key"))
-    )
-    blank = rows.where("node is null").select(F.col("key").alias(f"{OWN}key")).distinct()
-    numbered = docs.withColumn(f"{OWN}key", content_key()).withColumn(f"{OWN}row", F.monotonically_increasing_id())
-    firsts = numbered.select(F.col("doc_id").cast("long").alias("i"), F.col(f"{OWN}key").alias("k"), f"{OWN}row")
-    once = (
-        firsts.join(least, firsts["i"].eqNullSafe(least[f"{OWN}id"]) & (firsts["k"] == least[f"{OWN}key"]))
-        .groupBy("i", "k")
-        .agg(F.min(f"{OWN}row").alias(f"{OWN}row"))
-        .select(f"{OWN}row")
+        .agg(F.min(F.struct("row", "n")).alias("first"))
+        .select("first.row.doc_id", "first.row.key", (F.col("first.n") > 1).alias("many"))
+        .withColumnsRenamed({c: OWN + c for c in ("doc_id", "key", "many")})
     )
-    kept = numbered.join(once, f"{OWN}row", "left_semi").unionByName(numbered.join(blank, f"{OWN}key", "left_semi"))
-    return kept.select(*docs.columns)
+    least = written(docs.sparkSession, least, "kept")
+    # rows that agree in id and text may differ in other columns: one of them; mostly there are none
+    repeated = written(docs.sparkSession, least.where(f"{OWN}many"), "repeated")
+    known = docs.withColumn(f"{OWN}text_key", content_key())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{OWN}doc_id")) & (F.col(f"{OWN}text_key") == F.col(f"{OWN}key"))
+    has_words = text_or_empty().rlike("[^ \\t\\n\\x0B\\f\\r]")
+    parts = [known.where(has_words).join(least.where(f"NOT {OWN}many"), same, "left_semi"), docs.where(~has_words)]
+    if not repeated.isEmpty():
+        several = known.where(has_words).join(repeated, same)
+        parts.append(several.dropDuplicates([f"{OWN}doc_id", f"{OWN}key"]))
+    return functools.reduce(DataFrame.unionByName, [p.select(*docs.columns) for p in parts])

@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import OWN, require, text_or_empty
+from millrace.llm.texts import OWN, require, require_whole, text_or_empty
 from millrace.session import written
 
 LENGTH = 200
@@ -461,6 +461,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -
     ``length``, lose nothing. Repeated rows are copies of each other.
     """
     require(docs, "doc_id", text)
+    require_whole(docs, "doc_id")
     spans = repeat_spans(docs, length, text).withColumnsRenamed({"k1": f"{OWN}k1", "k2": f"{OWN}k2"})
     rows = _keyed(docs.select("doc_id", F.col(text).alias("text")), "text")
     slim = pa.schema([("doc_id", pa.int64()), ("z", pa.binary())])

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Name prefix of helper columns, so that columns of the input never clash.
 OWN = "__mr_"
@@ -38,6 +39,13 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
 
 
+def require_whole(df: DataFrame, column: str) -> None:
+    """Ids that are no whole numbers would get lost in a cast."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.IntegralType | T.NullType):
+        raise TypeError(f"{column} is {kind.simpleString()}; whole numbers are needed")
+
+
 def worker_cache(name: str, make: Callable[[], object]) -> object:
     """An object that a Python worker keeps between tasks.
 

@@ -26,12 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import require, text_or_empty
+from millrace.llm.texts import require, require_whole, text_or_empty
 from millrace.llm.tokens import segments_of
 
-#: The dictionary is fitted on about this many documents (chosen by hash), of
-#: each at most so many characters. It changes sizes, never contents.
-SAMPLE_DOCS, SAMPLE_CHARS = 1_000, 8_192
+#: The dictionary is fitted on at most so many blocks of ids, taken by hash from
+#: anywhere in about as many documents. It changes sizes, never contents.
+SAMPLE_DOCS, SAMPLE_BLOCKS, SAMPLE_IDS = 1_000, 1_500, 2_048
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4_096
 
@@ -46,13 +46,25 @@ def _ids(segments, text: str, end_id: int) -> bytes:
 
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes:
-    """A Zstandard dictionary from the bounded sample; empty for no documents."""
+    """A Zstandard dictionary from the bounded sample; empty for no documents.
+
+    Documents are chosen by the hash of id and text, encoded whole in tasks and
+    cut into blocks of ids; of these, the blocks with the smallest hashes (equal
+    ones once) are the sample, wherever in their documents they stand."""
     share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    rows = docs.where(part <= int(share * (1 << 30))).select(F.substring(text_or_empty(), 1, SAMPLE_CHARS).alias("t"))
-    segments = segments_of(tokenizer_file)
-    # twice the number: rows that are copies of each other are chosen together
-    samples = [_ids(segments, r["t"], end_id) for r in rows.limit(2 * SAMPLE_DOCS).collect()]
+    chosen = docs.where(part <= int(share * (1 << 30))).select(text_or_empty().alias("t"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments = segments_of(tokenizer_file)
+        for batch in batches:
+            for text in batch.column(0):
+                data = _ids(segments, text.as_py(), end_id)
+                blocks = [data[i : i + 4 * SAMPLE_IDS] for i in range(0, len(data), 4 * SAMPLE_IDS)]
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], names=["b"])
+
+    blocks = chosen.mapInArrow(cut, "b binary").distinct()
+    samples = [bytes(r["b"]) for r in blocks.orderBy(F.xxhash64("b"), "b").limit(SAMPLE_BLOCKS).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: their own bytes will do
@@ -68,9 +80,10 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
 
     Null ids come first. Documents with the same id are ordered by their text.
     A null text is empty: its frame holds the end id alone. Repeated rows are
-    dealt over several tasks by a third sort key.
+    dealt over several tasks by a third sort key. Ids are whole numbers.
     """
     require(docs, "doc_id", "text")
+    require_whole(docs, "doc_id")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     raw = train_dictionary(docs, tokenizer_file, end_id)

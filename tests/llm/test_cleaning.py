@@ -1,5 +1,6 @@
 """Decontamination, near duplicates, toxicity and the pipeline."""
 
+import collections
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import circulant_minhash, components, decontaminate, toxicity
+from millrace.llm import circulant_minhash, components, decontaminate, poisson_mix, toxicity
 from millrace.llm.queries import ORACLES, QUERIES
 from millrace.sources.tables import load
 from tests import oracle
@@ -85,6 +86,32 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, percent):
     assert kept.count() == len(groups) + alone
 
 
+def test_rows_of_an_unstored_frame_are_neither_lost_nor_doubled(spark):
+    # a join whose tasks are cut differently whenever other columns are read
+    n = 1500
+    words = F.concat_ws(" ", *[F.sha2(F.concat_ws("-", "doc_id", F.lit(i)), 256) for i in range(8)])
+    left = spark.range(n).select(F.col("id").alias("doc_id"), words.alias("text"))
+    right = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 3000).alias("pad"), F.lit(1).alias("key"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        docs = left.hint("merge").join(right, "doc_id")
+        docs = docs.unionByName(docs.where("doc_id < 20")).unionByName(docs.where("doc_id < 9").withColumn("text", F.lit(" ")))
+        kept = circulant_minhash.deduplicated(docs)
+        assert kept.columns == docs.columns
+        got = [r["doc_id"] for r in kept.where("text <> ' '").collect()]
+        assert sorted(got) == list(range(n))
+        assert kept.where("text = ' '").count() == 9
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+
+
+def test_ids_that_are_no_numbers_are_refused(spark):
+    df = spark.createDataFrame([("a", "t")], "doc_id string, text string")
+    with pytest.raises(TypeError, match="whole numbers"):
+        circulant_minhash.near_duplicates(df)
+
+
 def test_no_documents_no_duplicates(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert circulant_minhash.near_duplicates(df).collect() == [] and circulant_minhash.deduplicated(df).collect() == []
@@ -199,10 +226,25 @@ def test_pipeline_stages_keep_columns_and_do_their_work(spark, sf):
             bench = [tuple(r) for r in load(spark, sf, "benchmark").select("item_id", "text").collect()]
             hit = brute.contamination([t for _, t in left], bench)
             assert sorted(r["doc_id"] for r in docs.collect()) == sorted(d for (d, _), w in zip(left, hit) if not w[4])
+            left = [(r["doc_id"], r["text"]) for r in docs.collect()]
         elif name == "mixing":
-            assert {r["doc_id"] for r in docs.collect()} <= {d for d, _ in left}
+            copies = collections.Counter(r["doc_id"] for r in docs.collect())
+            mixed = poisson_mix.mix(before, seed=17, temperature=0.7).select("doc_id", "n_copies").distinct().collect()
+            assert copies == {r["doc_id"]: r["n_copies"] for r in mixed}
+            assert 0.6 * len(left) < sum(copies.values()) < 1.6 * len(left)
+            texts = dict(left)
+            assert all(texts[r["doc_id"]] == r["text"] for r in docs.collect())
         else:
-            assert out.count() == docs.count() and out.select("shard").distinct().count() <= 40
+            rows = out.collect()
+            assert collections.Counter(r["doc_id"] for r in rows) == copies
+            assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+            assert all(r["size"] == len(texts[r["doc_id"]].encode()) + 16 for r in rows)
+            weight = collections.Counter()
+            for r in rows:
+                weight[r["shard"]] += r["size"]
+            assert set(weight) <= set(range(40))
+            assert max(weight.values()) - min(weight[s] for s in range(40)) <= max(r["size"] for r in rows)
+        before = docs
 
 
 def test_pipeline_takes_an_empty_table(spark, sf):

@@ -3,8 +3,10 @@
 import collections
 import math
 import re
+import time
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import poisson_mix, pseudonyms, slots
@@ -156,6 +158,24 @@ def test_invalid_numbers_and_plain_texts_stay(spark):
     assert replaced(spark, texts) == [(t, 0) for t in texts]
 
 
+@pytest.mark.parametrize(
+    ("unit", "size"),
+    [("QUJDRA", 5_000_000), ("ab.", 5_000_000), ("x@", 1_000_000), ("0123456789abcdef", 500_000), ("1 ", 50_000)],
+)
+def test_long_texts_without_a_break_take_little_time(spark, unit, size):
+    text = F.concat(F.repeat(F.lit(unit), size // len(unit)), F.lit(" ann@site.example"))
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    began = time.time()
+    row = pseudonyms.pseudonymise(docs, "k").first()
+    assert time.time() - began < 60
+    assert len(row["text"]) == size // len(unit) * len(unit) + 17 and not row["text"].endswith(" ann@site.example")
+
+
+def test_pseudonyms_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert pseudonyms.pseudonymise(docs, "k").collect() == []
+
+
 def test_cards_beside_other_numbers_are_found(spark):
     card = "4111 1111 1111 1111"
     around = [

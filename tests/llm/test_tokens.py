@@ -62,7 +62,7 @@ def test_every_prefix_has_its_exact_count(spark, library):
     for end, n in zip(row["prefix_ends"], row["prefix_tokens"]):
         assert n == len(ids(library, text.encode()[:end].decode()))
     for i in range(len(text) + 1):
-        got = tokens.count_at(text, row["prefix_ends"], row["prefix_tokens"], i, tokenizer_file())
+        got = tokens.count_at(text, row["prefix_ends"], row["prefix_tokens"], i)
         assert got == len(ids(library, text[:i])), text[:i]
 
 
@@ -99,6 +99,26 @@ def test_budgets_end_inside_long_runs(spark, library, monkeypatch):
     assert tokens.count_at(row["text"], row["prefix_ends"], row["prefix_tokens"], 50) == len(ids(library, row["text"][:50]))
 
 
+def test_a_table_for_one_budget_answers_it_exactly(spark, library):
+    r = random.Random(6)
+    texts = ["", " ", "one two " + "abcdefgh" * 40, "unbelievable " * 9, *("".join(r.choice("的一是不了 人我在") for _ in range(60)) for _ in range(20))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for budget in (0, 1, 7, 20, 10_000):
+        whole = tokens.prefix_counts(df, tokenizer_file()).select("text", tokens.tokens_within(budget).alias("c"))
+        short = tokens.prefix_counts(df, tokenizer_file(), budget=budget)
+        assert sorted(whole.collect()) == sorted(short.select("text", tokens.tokens_within(budget).alias("c")).collect())
+        for row in short.collect():
+            assert row["n_tokens"] == len(ids(library, row["text"]))
+            raw = row["text"].encode()
+            for end, n in zip(row["prefix_ends"], row["prefix_tokens"]):
+                assert n == len(ids(library, raw[:end].decode()))
+
+
+def test_the_query_reads_the_prefix_table(spark, sf):
+    plan = QUERIES["op6_prefix_token_counts"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "prefix_tokens" in plan and "prefix_ends" in plan
+
+
 def test_counts_of_odd_rows_and_clashing_columns(spark):
     rows = [(None, None, 9), (None, None, 9), (1, "", 9), (2, "word " * 3000, 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
