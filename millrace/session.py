@@ -66,3 +66,33 @@ def written(spark: SparkSession, df, label: str = "table"):
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """A shared folder for tables that are read only until a later result is
+    stored; it is deleted at the end of the ``with`` block.
+
+    Nothing that leaves the block may be computed from such a table later on:
+    store it with :func:`written` first.
+    """
+
+    def __init__(self, spark: SparkSession, label: str = "scratch") -> None:
+        self.spark, self.path, self._n = spark, work_dir(spark, label), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        drop_folder(self.spark, self.path)
+
+    def written(self, df, label: str = "table"):
+        self._n += 1
+        path = f"{self.path}/{self._n}-{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables, on any file system Spark reaches."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
