@@ -6,6 +6,7 @@ that end at or before the last event time minus the delay.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as sx
@@ -13,6 +14,8 @@ from millrace.operators import joins as jn
 from millrace.plans.registry import query
 from millrace.session import work_dir
 from millrace.sources.tables import load, money, table_path, with_event_time
+from millrace.streaming import changelog as cl
+from millrace.streaming import held as hd
 from millrace.streaming import processors as pr
 from millrace.streaming import run as rn
 from millrace.streaming import windows as wi
@@ -222,6 +225,25 @@ def state_snapshot(spark, sf):
     return pr.read_state(spark, checkpoint, "count")
 
 
+@query(
+    "state_changes",
+    """SELECT user_id, count(*) AS n, true AS agrees FROM events GROUP BY user_id""",
+)
+def state_changes(spark, sf):
+    """The state of a finished job from what each batch changed: rows counted
+    batch by batch add up to the final state, and to the state after each batch."""
+    checkpoint = work_dir(spark, "state")
+    spark.conf.set(pr.CHANGELOG_CONF, "true")
+    events = rn.table_stream(spark, sf, "events", "ts").select("user_id")
+    rn.run_to_table(pr.process(events, ["user_id"], pr.RunningCount(("user_id",)), "user_id long, n long"), checkpoint)
+    changes = pr.state_changes(spark, checkpoint, "count")
+    added = F.col("n") - F.lag("n", 1, 0).over(Window.partitionBy("user_id").orderBy("batch_id"))
+    summed = changes.withColumn("added", added).groupBy("user_id").agg(F.sum("added").alias("n"))
+    final = pr.read_state(spark, checkpoint, "count").withColumnRenamed("n", "final_n")
+    both = summed.join(final, "user_id", "full")
+    return both.select("user_id", "n", F.col("n").eqNullSafe(F.col("final_n")).alias("agrees"))
+
+
 @query("stream_restart", _sql_window(1, "event_type, ", "count(*) AS n", ", event_type"))
 def stream_restart(spark, sf):
     """The stream stops after half of the input and goes on from its checkpoint."""
@@ -317,3 +339,109 @@ def sink_rolling_files(spark, sf):
     run.stop()
     cells = F.split("value", ",")
     return spark.read.text(path).select(cells[0].cast("long").alias("event_id"), cells[1].alias("event_type"))
+
+
+# rows are complete once the watermark, in milliseconds, is past them
+_PAST = """(SELECT min(last) // 1000 - 5000 FROM (
+    SELECT max(epoch_us(ts)) AS last FROM events WHERE event_type IN ('purchase', 'view') GROUP BY event_type))"""
+
+
+def _of_type(spark, sf, kind, *columns):
+    # each side has its own watermark; the slower one counts
+    events = with_event_time(rn.table_stream(spark, sf, "events", "ts")).where(F.col("event_type") == kind)
+    return events.select("user_id", "ts", *columns).withWatermark("ts", "5 seconds")
+
+
+@query(
+    "stream_temporal_join",
+    f"""SELECT p.event_id AS purchase_id, v.event_id AS view_id, v.value AS view_value
+        FROM (SELECT * FROM events WHERE event_type = 'purchase' AND epoch_us(ts) // 1000 < {_PAST}) p
+        ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts""",
+)
+def stream_temporal_join(spark, sf):
+    """Each purchase with its user's view that was the latest at its time."""
+    buys = _of_type(spark, sf, "purchase", F.col("event_id").alias("purchase_id"))
+    views = _of_type(spark, sf, "view", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    joined = hd.temporal_join(buys, views, ["user_id"], "ts", tie="view_id")
+    return rn.run_to_table(joined.select("purchase_id", "view_id", "view_value"))
+
+
+_CHANGES_SQL = """SELECT o_orderkey, o_orderpriority, o_totalprice AS price, 1 AS sign FROM orders
+   UNION ALL SELECT o_orderkey, o_orderpriority, o_totalprice, -1 FROM orders WHERE o_orderkey % 5 = 0
+   UNION ALL SELECT o_orderkey, o_orderpriority, o_totalprice + 1, 1 FROM orders WHERE o_orderkey % 10 = 0"""
+
+
+@query(
+    "stream_changelog_minmax",
+    f"""SELECT o_custkey, min(price) AS low, max(price) AS high, min_by(price, o_orderkey) AS first,
+              max_by(price, o_orderkey) AS last, count(*) AS n FROM (
+          SELECT o_custkey, o_orderkey, price FROM ({_CHANGES_SQL.replace("o_orderpriority", "o_custkey")})
+          GROUP BY ALL HAVING sum(sign) > 0)
+        GROUP BY o_custkey""",
+)
+def stream_changelog_minmax(spark, sf):
+    """Low, high, first and last price of each customer's orders, from changes
+    that come in several batches; what went out is netted."""
+    orders = rn.table_stream(spark, sf, "orders", "o_orderdate")
+    steps = F.when(F.col("o_orderkey") % 10 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).when(
+        F.col("o_orderkey") % 5 == 0, F.array(F.lit(0), F.lit(1))
+    )
+    changes = orders.select(
+        "o_custkey", "o_orderkey", "o_totalprice", F.explode(F.coalesce(steps, F.array(F.lit(0)))).alias("step")
+    ).select(
+        "o_custkey",
+        "o_orderkey",
+        (F.col("o_totalprice") + (F.col("step") == 2).cast("double")).alias("price"),
+        F.when(F.col("step") == 1, -1).otherwise(1).alias("sign"),
+    )
+    out = rn.run_to_table(cl.retracting_extremes(changes, ["o_custkey"], "price", "o_orderkey"))
+    return cl.netted(out).select("o_custkey", "low", "high", "first", "last", "n")
+
+
+_SIX_HOURS = 6 * 3600 * 1000
+
+
+def _longest_gap(key, rows):
+    at = [r["us"] for r in rows]
+    gap = max((b - a for a, b in zip(at, at[1:])), default=None)
+    yield {"user_id": key[0], "window_ms": key[1], "n": len(rows), "gap_us": gap, "types": len({r["event_type"] for r in rows})}
+
+
+@query(
+    "stream_window_body",
+    """SELECT user_id, w AS window_ms, count(*) AS n, max(gap) AS gap_us, count(DISTINCT event_type) AS types FROM (
+         SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id, w ORDER BY ts) AS gap FROM (
+           SELECT *, epoch_us(ts) // 1000 // 21600000 * 21600000 AS w FROM events))
+       WHERE w + 21600000 <= (SELECT max(epoch_us(ts)) // 1000 - 5000 FROM events) GROUP BY user_id, w""",
+)
+def stream_window_body(spark, sf):
+    """Longest pause of each user in each six hours, by a body that sees all rows of a window."""
+    events = rn.event_stream(spark, sf).select("user_id", "ts", "event_type")
+    schema = "user_id long, window_ms long, n long, gap_us long, types long"
+    return rn.run_to_table(hd.window_body(events, ["user_id"], "ts", _SIX_HOURS, _longest_gap, schema))
+
+
+def _both_sides(key, views, buys):
+    yield {
+        "user_id": key[0],
+        "window_ms": key[1],
+        "views": len(views),
+        "purchases": len(buys),
+        "bought": sum(r["value"] > max((v["value"] for v in views), default=0.0) for r in buys),
+    }
+
+
+@query(
+    "stream_window_cogroup",
+    f"""SELECT user_id, w AS window_ms, count(*) FILTER (WHERE event_type = 'view') AS views,
+              count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+              count(*) FILTER (WHERE event_type = 'purchase' AND value > top) AS bought
+        FROM (SELECT *, coalesce(max(value) FILTER (WHERE event_type = 'view') OVER (PARTITION BY user_id, w), 0) AS top FROM (
+           SELECT *, epoch_us(ts) // 1000 // 21600000 * 21600000 AS w FROM events WHERE event_type IN ('view', 'purchase')))
+        WHERE w + 21600000 <= {_PAST} GROUP BY user_id, w""",
+)
+def stream_window_cogroup(spark, sf):
+    """Both streams' rows of a user's six hours together, also where one side has none."""
+    schema = "user_id long, window_ms long, views long, purchases long, bought long"
+    views, buys = (_of_type(spark, sf, kind, "value") for kind in ("view", "purchase"))
+    return rn.run_to_table(hd.window_body(views, ["user_id"], "ts", _SIX_HOURS, _both_sides, schema, other=buys))

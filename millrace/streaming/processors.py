@@ -18,6 +18,9 @@ _COUNT = T.StructType([T.StructField("n", T.LongType())])
 _LAST = T.StructType([T.StructField("n", T.LongType()), T.StructField("due", T.LongType())])
 _FLAG = T.StructType([T.StructField("open", T.BooleanType())])
 
+#: State stores that keep what each batch changed.
+CHANGELOG_CONF = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
 TWO_HOURS_MS = 2 * 3600 * 1000
 
 
@@ -187,8 +190,34 @@ def process(
     return stream.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", time_mode)
 
 
-def read_state(spark, checkpoint: str, variable: str) -> DataFrame:
-    """State of a stopped (or running) job by key, from its checkpoint."""
-    return (
-        spark.read.format("statestore").option("stateVarName", variable).load(checkpoint).select("key.*", "value.*")
+def read_state(
+    spark, checkpoint: str, variable: str, flat: bool = True, batch: int | None = None
+) -> DataFrame:
+    """State of a stopped (or running) job by key, from its checkpoint.
+
+    ``batch``: as it was after that micro-batch; without, after the last one.
+    ``flat``: key and value of a value state as columns; lists and maps have
+    columns of their own (list_element, user_map_key and user_map_value).
+    """
+    reader = spark.read.format("statestore").option("stateVarName", variable)
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    state = reader.load(checkpoint)
+    return state.select("key.*", "value.*") if flat else state
+
+
+def state_changes(spark, checkpoint: str, variable: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """What each micro-batch changed in a value state: batch_id, change_type
+    (update or delete), the key's columns and the value's (null if deleted).
+
+    The job must have kept changelogs (``CHANGELOG_CONF`` set before it ran).
+    """
+    reader = (
+        spark.read.format("statestore")
+        .option("stateVarName", variable)
+        .option("readChangeFeed", True)
+        .option("changeStartBatchId", first)
     )
+    if last is not None:
+        reader = reader.option("changeEndBatchId", last)
+    return reader.load(checkpoint).select("batch_id", "change_type", "key.*", "value.*")

@@ -11,6 +11,8 @@ from millrace.functions import scalars as sx
 from millrace.operators import joins as jn
 from millrace.plans import QUERIES
 from millrace.session import work_dir
+from millrace.streaming import changelog as cl
+from millrace.streaming import held as hd
 from millrace.streaming import processors as pr
 from millrace.streaming import run as rn
 from millrace.streaming import windows as wi
@@ -222,3 +224,75 @@ def test_interval_join_is_keyed_on_slots(spark, sf):
     run.awaitTermination()
     text = run._jsq.explainInternal(False)
     assert "StreamingSymmetricHashJoin [user_id" in text and "__slot" in text.split("StreamingSymmetricHashJoin")[1].split("]")[0]
+
+
+def _temporal(spark, rows, folder, checkpoint, path, keep_unmatched=True):
+    """rows: (side, second, key, text), one row a batch, both inputs in one order."""
+    rn.replay(spark, [(s, T(t), k, x) for s, t, k, x in rows], "side int, ms long, k string, x string", folder)
+    events = rn.replay_stream(spark, "side int, ms long, k string, x string", folder)
+    events = events.withColumn("ts", F.timestamp_millis("ms")).withWatermark("ts", "10 seconds")
+    left = events.where("side = 0").select("k", "ts", F.col("x").alias("asked"))
+    right = events.where("side = 1").select("k", "ts", F.col("x").alias("version"), F.col("ms").alias("v_ms"))
+    joined = hd.temporal_join(left, right, ["k"], "ts", keep_unmatched=keep_unmatched)
+    return rn.run_to_table(joined, checkpoint, path)
+
+
+def test_temporal_join_waits_for_versions_that_arrive_later(spark):
+    folder, checkpoint, path = (work_dir(spark, x) for x in ("replay", "temporal", "temporal-out"))
+    rows = [(1, 0, "a", "v0"), (0, 12, "a", "p"), (1, 10, "a", "v10"), (0, 5, "b", "q"), (1, 11, "b", "late"), (1, 13, "a", "v13")]
+    rows += [(1, 25, "a", "v25"), (0, 26, "a", "r")]
+    out = _temporal(spark, rows, folder, checkpoint, path)
+    # r is later than the watermark, which is at 16
+    assert got(out.select("k", "asked", "version")) == [("a", "p", "v10"), ("b", "q", None)]
+    assert out.where("asked = 'p'").select(F.unix_millis("version_ts")).first()[0] == T(10)
+    # what is older than the version valid at the watermark is forgotten
+    held = pr.read_state(spark, checkpoint, "versions", flat=False)
+    assert sorted((r["key"]["k"], (r["user_map_key"]["us"] // 1000 - T0) // 1000) for r in held.collect()) == [("a", 13), ("a", 25), ("b", 11)]
+    # the stream goes on where it stopped, with rows and versions that waited
+    out = _temporal(spark, [(1, 26, "a", "v26"), (1, 60, "c", "x"), (0, 61, "c", "y")], folder, checkpoint, path)
+    assert got(out.select("k", "asked", "version")) == [("a", "p", "v10"), ("a", "r", "v26"), ("b", "q", None)]
+
+
+def test_temporal_join_without_unmatched_rows(spark):
+    folder, checkpoint, path = (work_dir(spark, x) for x in ("replay", "temporal", "temporal-out"))
+    rows = [(0, 1, "a", "p"), (1, 2, "a", "v"), (0, 2, "a", "same time"), (1, 90, "z", "end"), (1, 91, "z", "end")]
+    out = _temporal(spark, rows, folder, checkpoint, path, keep_unmatched=False)
+    assert got(out.select("asked", "version")) == [("same time", "v")]
+
+
+def _changes(spark, rows, folder, checkpoint, path):
+    rn.replay(spark, rows, "k string, v double, seq long, sign int", folder)
+    stream = rn.replay_stream(spark, "k string, v double, seq long, sign int", folder)
+    return rn.run_to_table(cl.retracting_extremes(stream, ["k"], "v", "seq"), checkpoint, path)
+
+
+def test_extremes_that_are_taken_back(spark):
+    folder, checkpoint, path = (work_dir(spark, x) for x in ("replay", "changes", "changes-out"))
+    rows = [("a", 5.0, 1, 1), ("a", 3.0, 2, 1), ("a", 9.0, 3, 1), ("a", 3.0, 2, -1), ("a", None, 9, 1), ("a", 5.0, 1, -1)]
+    rows += [("b", 1.0, 1, 1), ("b", 1.0, 1, -1), ("c", 4.0, 1, -1), ("c", 7.0, 2, 1)]
+    out = _changes(spark, rows, folder, checkpoint, path)
+    fields = ["k", "low", "high", "first", "last", "n"]
+    sent = got(out.where("k = 'a'").groupBy("sign", *fields).count())
+    assert len(sent) == 9  # five results, each but the last taken back
+    assert got(cl.netted(out).select(*fields)) == [("a", 9.0, 9.0, 9.0, 9.0, 1), ("c", 7.0, 7.0, 7.0, 7.0, 1)]
+    # after a restart: the value that was taken back before it came, and one that comes twice
+    rows = [("c", 4.0, 1, 1), ("a", 9.0, 3, 1), ("a", 2.0, 8, 1), ("a", 9.0, 3, -1)]
+    out = _changes(spark, rows, folder, checkpoint, path)
+    assert got(cl.netted(out).select(*fields)) == [("a", 2.0, 9.0, 9.0, 2.0, 2), ("c", 7.0, 7.0, 7.0, 7.0, 1)]
+
+
+def test_windows_with_a_body_fire_at_their_end(spark):
+    o, i = _two_streams(spark)
+
+    def body(key, orders, infos):
+        known = {r["id"] for r in infos}
+        for r in orders:
+            yield {"w": (key[-1] - T0) // 1000, "id": r["id"], "met": r["id"] in known}
+
+    one = F.lit(1).alias("one")
+    orders = o.select(one, "ts", "id")
+    infos = i.select(one, "ts", "id", "info")
+    out = rn.run_to_table(hd.window_body(orders, ["one"], "ts", 10_000, body, "w long, id string, met boolean", other=infos))
+    # 1006 and 1007 are not there: the window of the newest row is open, and late rows are dropped
+    assert {r["id"] for r in out.collect()} >= {"1001", "1002", "1004"} and "1006" not in {r["id"] for r in out.collect()}
+    assert all(r["w"] % 10 == 0 or (T0 // 1000 + r["w"]) % 10 == 0 for r in out.collect())
