@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as ag
+from millrace.operators import bitmaps as bm
 from millrace.operators import distinct as ds
 from millrace.operators import joins as jn
 from millrace.operators import textjobs as tj
 from millrace.plans.registry import query
+from millrace.session import written
 from millrace.sources.tables import day, load, money, spread
 
 
@@ -581,3 +583,41 @@ def id_hashed(spark, sf):
     return hashed.groupBy("source").agg(
         rows().alias("n"), ((F.min("id") >= 0) & (F.max("id") < 2**31) & (F.min("id") == F.max("id"))).alias("in_range")
     )
+
+
+@query(
+    "agg_bitmap_sparse",
+    "SELECT event_type, CAST(count(DISTINCT (user_id, event_id % 97)) AS BIGINT) AS ids FROM events GROUP BY event_type",
+)
+def agg_bitmap_sparse(spark, sf):
+    """Distinct 64-bit hashes, counted from daily compressed bitmaps that are stored and merged."""
+    events = load(spark, sf, "events")
+    hashed = events.select(day("ts").alias("day"), "event_type", F.xxhash64("user_id", F.col("event_id") % 97).alias("id"))
+    daily = written(spark, bm.sparse_partials(hashed, ["day", "event_type"], "id"), "daily-bitmaps")
+    return bm.count_sparse(bm.merge_sparse(daily, ["event_type"]), ["event_type"], "ids")
+
+
+@query(
+    "agg_bitmap_members",
+    """SELECT DISTINCT event_type, (user_id - 70) * 3000000 + event_id % 3 AS id FROM events WHERE user_id % 4 = 0""",
+)
+def agg_bitmap_members(spark, sf):
+    """The ids themselves, read back from merged bitmaps; some are negative."""
+    ids = (F.col("user_id") - 70) * 3_000_000 + F.col("event_id") % 3
+    events = load(spark, sf, "events").where("user_id % 4 = 0").select(day("ts").alias("day"), "event_type", ids.alias("id"))
+    daily = written(spark, bm.sparse_partials(events, ["day", "event_type"], "id"), "daily-bitmaps")
+    return bm.ids_of(bm.merge_sparse(daily, ["event_type"]), "id")
+
+
+@query(
+    "agg_sketch_rollup",
+    "SELECT event_type, true AS near FROM events GROUP BY event_type",
+)
+def agg_sketch_rollup(spark, sf):
+    """Daily sketches, stored and merged to the whole period, against the exact count."""
+    events = load(spark, sf, "events").select(day("ts").alias("day"), "event_type", F.xxhash64("user_id", "value").alias("id"))
+    daily = written(spark, ds.sketches(events, ["day", "event_type"], "id"), "daily-sketches")
+    about = ds.sketch_counts(ds.merge_sketches(daily, ["event_type"]), "about")
+    exact = ds.two_step_distinct(events, ["event_type"], "id", "ids")
+    near = F.abs(F.col("about") - F.col("ids")) <= F.greatest(F.lit(1), 0.05 * F.col("ids"))
+    return about.join(exact, "event_type").select("event_type", near.alias("near"))

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as sx
+from millrace.operators import distinct as ds
 from millrace.operators import joins as jn
 from millrace.plans.registry import query
 from millrace.session import work_dir
@@ -445,3 +446,17 @@ def stream_window_cogroup(spark, sf):
     schema = "user_id long, window_ms long, views long, purchases long, bought long"
     views, buys = (_of_type(spark, sf, kind, "value") for kind in ("view", "purchase"))
     return rn.run_to_table(hd.window_body(views, ["user_id"], "ts", _SIX_HOURS, _both_sides, schema, other=buys))
+
+
+@query("stream_sketch", "SELECT event_type, true AS near FROM events GROUP BY event_type")
+def stream_sketch(spark, sf):
+    """A sketch for each hour of a stream, stored as it closes, and merged for
+    each event type; compared with the exact count of the same hours."""
+    events = rn.event_stream(spark, sf).withColumn("window", F.window("ts", "1 hour"))
+    hourly = rn.run_to_table(wi.bounds(ds.sketches(events, ["window", "event_type"], "user_id")))
+    about = ds.sketch_counts(ds.merge_sketches(hourly, ["event_type"]), "about")
+    hours = hourly.select("event_type", F.col("window_start").alias("hour"))
+    stored = load(spark, sf, "events").select("user_id", "event_type", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"))
+    exact = ds.two_step_distinct(stored.join(hours, ["event_type", "hour"]), ["event_type"], "user_id", "ids")
+    near = F.abs(F.col("about") - F.col("ids")) <= F.greatest(F.lit(1), 0.05 * F.col("ids"))
+    return about.join(exact, "event_type").select("event_type", near.alias("near"))
