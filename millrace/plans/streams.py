@@ -14,6 +14,7 @@ from millrace.operators import distinct as ds
 from millrace.operators import joins as jn
 from millrace.plans.registry import query
 from millrace.session import work_dir
+from millrace.sources import commitlog as cg
 from millrace.sources.tables import load, money, table_path, with_event_time
 from millrace.streaming import changelog as cl
 from millrace.streaming import held as hd
@@ -460,3 +461,24 @@ def stream_sketch(spark, sf):
     exact = ds.two_step_distinct(stored.join(hours, ["event_type", "hour"]), ["event_type"], "user_id", "ids")
     near = F.abs(F.col("about") - F.col("ids")) <= F.greatest(F.lit(1), 0.05 * F.col("ids"))
     return about.join(exact, "event_type").select("event_type", near.alias("near"))
+
+
+@query(
+    "sink_commit_log",
+    "SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY 1",
+)
+def sink_commit_log(spark, sf):
+    """Keyed records into a log of committed batches, then back as a stream
+    that stops after the first half of the input and goes on at its offset."""
+    path, checkpoint, taken, out = (work_dir(spark, label) for label in ("log", "to-log", "from-log", "log-out"))
+    events = load(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("key"))
+    half = events.agg(F.max("event_id") / 2).scalar()
+    folder, schema, found = work_dir(spark, "arriving"), "key string, event_id long", None
+    for part in (events.where(F.col("event_id") <= half), events.where(F.col("event_id") > half)):
+        part.write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(events.schema).parquet(folder).select("key", "event_id")
+        cg.stream_to_log(arriving, path, checkpoint)
+        found = rn.run_to_table(cg.log_stream(spark, path, schema), taken, out)
+    return found.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
+    )
