@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as ag
 from millrace.operators import bitmaps as bm
+from millrace.operators import dictionary as dc
 from millrace.operators import distinct as ds
 from millrace.operators import joins as jn
 from millrace.operators import textjobs as tj
 from millrace.plans.registry import query
-from millrace.session import written
+from millrace.session import work_dir, written
 from millrace.sources.tables import day, load, money, spread
 
 
@@ -621,3 +622,20 @@ def agg_sketch_rollup(spark, sf):
     exact = ds.two_step_distinct(events, ["event_type"], "id", "ids")
     near = F.abs(F.col("about") - F.col("ids")) <= F.greatest(F.lit(1), 0.05 * F.col("ids"))
     return about.join(exact, "event_type").select("event_type", near.alias("near"))
+
+
+@query(
+    "id_dictionary_grown",
+    """WITH firsts AS (SELECT props, min(event_id) AS e FROM events GROUP BY props),
+            half AS (SELECT max(event_id) / 2 AS h FROM events)
+       SELECT props, row_number() OVER (ORDER BY e > h, props) AS id, CASE WHEN e > h THEN 1 ELSE 0 END AS version FROM firsts, half""",
+)
+def id_dictionary_grown(spark, sf):
+    """Numbers for text values, given in two runs; those of the first run stay."""
+    events = load(spark, sf, "events").select("event_id", "props")
+    half = events.agg(F.max("event_id") / 2).scalar()
+    path = work_dir(spark, "dictionary")
+    for part in (events.where(F.col("event_id") <= half), events):
+        dc.grow_dictionary(part, "props", path)
+    known = dc.dictionary(spark, path, events.schema["props"].dataType)
+    return known.select(F.col("value").alias("props"), "id", "version")

@@ -10,6 +10,7 @@ from millrace.operators.distribution import session_parts
 from millrace.plans.registry import query
 from millrace.session import work_dir
 from millrace.sources import layout as ly
+from millrace.sources import packing as pk
 from millrace.sources import records as rc
 from millrace.sources.tables import load, table_path
 
@@ -242,3 +243,15 @@ def ddl_repair(spark, sf):
     ly.add_partition(spark, table, {"o_orderstatus": "F"}, f"{path}/o_orderstatus=F")
     ly.repair(spark, table)
     return spark.table(table)
+
+
+@query("compact_files", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def compact_files(spark, sf):
+    """A table of many small files, packed into files of about the same measured size."""
+    _, path = _new(spark, "small")
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    orders.repartition(40, "o_orderkey").write.parquet(path)
+    packed = work_dir(spark, "packed")
+    total = pk.file_sizes(spark, path).agg(F.sum("bytes")).first()[0]
+    pk.pack_files(spark, path, packed, target_bytes=max(total // 4, 1))
+    return pk.read_packed(spark, packed).select("o_orderkey", "o_custkey", "o_totalprice")
