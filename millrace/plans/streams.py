@@ -482,3 +482,20 @@ def sink_commit_log(spark, sf):
     return found.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
     )
+
+
+@query(
+    "stream_control",
+    """SELECT event_id, user_id FROM (
+         SELECT *, last_value(CASE event_type WHEN 'error' THEN false WHEN 'signup' THEN true END IGNORE NULLS)
+                     OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS passes FROM events)
+       WHERE event_type = 'click' AND coalesce(passes, true)""",
+)
+def stream_control(spark, sf):
+    """Clicks pass until an error of their user shuts the gate; a signup opens it again."""
+    kind = F.col("event_type")
+    control = F.when(kind == "error", False).when(kind == "signup", True)
+    events = rn.table_stream(spark, sf, "events", "ts").where(kind.isin("click", "error", "signup"))
+    tagged = events.select("user_id", "event_id", control.alias("control"))
+    gate = pr.ControlGate(("event_id", "user_id"), "control")
+    return rn.run_to_table(pr.process(tagged, ["user_id"], gate, "event_id long, user_id long"))
