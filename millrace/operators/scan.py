@@ -361,10 +361,11 @@ class Ordered:
         window = self.window.rowsBetween(_UNB if first is None else first, _UNF if last is None else last)
         if self.spans:
             self._from_stored(lambda: self._in_spanning().select(value))
+        # places within the block are the same for all frames
+        places = {"__rn": F.row_number().over(self.window), "__m": F.count(F.lit(1)).over(self.all_rows)}
         rows = self._df.select(
             "*",
-            F.row_number().over(self.window).alias("__rn"),
-            F.count(F.lit(1)).over(self.all_rows).alias("__m"),
+            *[c.alias(n) for n, c in places.items() if n not in self._df.columns],
             *[_EACH[p](value).over(window).alias(f"__f_{p}") for p in parts],
         )
         total = {p: F.col(f"__f_{p}") for p in parts}
@@ -401,7 +402,7 @@ class Ordered:
                 total = {p: _TWO[p](total[p], more[p]) for p in parts}
         mean = lambda: F.when(total["count"] > 0, total["sum"].cast("double") / total["count"])
         done = {n: mean() if h == "avg" else total[h] for n, h in hows.items()}
-        kept = [c for c in self._df.columns if c not in hows]
+        kept = [c for c in dict.fromkeys([*self._df.columns, *places]) if c not in hows]
         self._df = rows.select(*kept, *[c.alias(n) for n, c in done.items()])
         self._named(hows)
         return self

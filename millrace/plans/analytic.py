@@ -166,18 +166,21 @@ def _frame_sql(*hows):
                WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"""
 
 
-def _framed(spark, sf, *hows):
+def _framed(spark, sf, *hows, **scans):
+    """The frames, and further scans, of one layout of the rows. Rows of one day are peers."""
     orders = _orders(spark, sf).withColumn("p", F.when(F.col("price") > 100000, F.col("price")))
-    rows = sc.Ordered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    rows = sc.Ordered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], peer_columns=1)
+    if scans:
+        rows.add(**scans)
     for name, (_, first, last) in _FRAMES.items():
         rows.add_frame("p", first, last, **{f"{name}_{h}": h for h in hows})
-    names = [f"{n}_{h}" for n in _FRAMES for h in hows]
-    return rows.frame().select("o_orderkey", *[F.col(c).cast("double").alias(c) for c in names])
+    names = [*scans, *[f"{n}_{h}" for n in _FRAMES for h in hows]]
+    return rows.frame().select("o_orderkey", *[F.col(c).cast("double").alias(c) for c in names]), orders
 
 
 @query("win_frames_min", _frame_sql("min", "max"))
 def win_frames_min(spark, sf):
-    return _framed(spark, sf, "min", "max")
+    return _framed(spark, sf, "min", "max")[0]
 
 
 @query(
@@ -187,13 +190,9 @@ def win_frames_min(spark, sf):
         FROM {_O} o JOIN ({_frame_sql("sum", "count")}) f USING (o_orderkey)""",
 )
 def win_frames(spark, sf):
-    orders = _orders(spark, sf).withColumn("p", F.when(F.col("price") > 100000, F.col("price")))
-    peers = sc.scan(orders, ["o_custkey"], ["o_orderdate"], to_peers=sc.running_sum("p", peers=True))
+    framed, orders = _framed(spark, sf, "sum", "count", to_peers=sc.running_sum("p", peers=True))
     # the total of all rows is one value, not a window over the whole table
-    total = orders.agg(F.sum("p")).scalar().cast("double").alias("all_rows")
-    return _framed(spark, sf, "sum", "count").join(
-        peers.select("o_orderkey", F.col("to_peers").cast("double").alias("to_peers"), total), "o_orderkey"
-    )
+    return framed.withColumn("all_rows", orders.agg(F.sum("p")).scalar().cast("double"))
 
 
 @query(
