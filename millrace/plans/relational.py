@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from millrace.functions import scalars as sx
 from millrace.operators import distribution as di
 from millrace.operators import joins as jn
+from millrace.operators import keyindex as ki
 from millrace.operators import ranking as rk
 from millrace.operators import scan as sc
 from millrace.operators import setops
 from millrace.plans.registry import query
+from millrace.session import work_dir
 from millrace.sources.tables import load
 
 # ---------------------------------------------------------------- projection
@@ -389,6 +391,20 @@ def join_lookup(spark, sf):
     return jn.lookup_join(events, customer, ["user_id"])
 
 
+@query(
+    "join_lookup_index",
+    """SELECT event_id, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey
+       WHERE event_type = 'purchase'""",
+)
+def join_lookup_index(spark, sf):
+    """Purchases meet the customers through an index of sorted key blocks."""
+    path = work_dir(spark, "customer-index")
+    customer = load(spark, sf, "customer").withColumnRenamed("c_custkey", "user_id")
+    ki.build_index(customer, "user_id", path, block_rows=500)
+    buys = load(spark, sf, "events").where("event_type = 'purchase'").select("event_id", "user_id")
+    return ki.index_lookup(buys, "user_id", path, ["c_name", "c_mktsegment"])
+
+
 @query(
     "semi_exists",
     """SELECT c_custkey FROM customer WHERE EXISTS

@@ -40,7 +40,7 @@ def src_datagen(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey")
     made = rc.generate(
         spark,
-        orders.agg(F.max("o_orderkey")).first()[0] + 1,
+        orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(-1))).first()[0] + 1,
         {"f_sequence": ("sequence", 1), "f_random": ("int", 1, 1000), "f_random_str": ("text", 10)},
     )
     return orders.join(made, F.col("o_orderkey") + 1 == F.col("f_sequence")).select(
