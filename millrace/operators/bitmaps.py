@@ -18,12 +18,14 @@ form. Partials of several days or sources can be kept and merged later.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 PLACES = 1 << 16
 #: Containers of one range are merged in this many groups first.
@@ -86,24 +88,51 @@ def sparse_partials(df: DataFrame, keys: Sequence[str], ids: str) -> DataFrame:
 def merge_sparse(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Union of stored partials at coarser keys; the smallest form is chosen anew.
 
-    Containers of a range are merged in a bounded number of groups, then these."""
+    Containers of a range are merged in a bounded number of groups, then these.
+    A container that is alone in its range passes as it is."""
     names = [*keys, "id_range"]
-
-    def merged(df: DataFrame, by: list[str]) -> DataFrame:
-        schema = df.select(*by, "kind", "n", "data").schema
-
-        def union(rows: pd.DataFrame) -> pd.DataFrame:
-            bits = np.zeros(PLACES, dtype=bool)
-            for kind, data in zip(rows["kind"], rows["data"]):
-                bits[unpack(kind, data)] = True
-            out = rows.iloc[:1][by].copy()
-            out["kind"], out["n"], out["data"] = pack(np.flatnonzero(bits))
-            return out
-
-        return df.select(*by, "kind", "n", "data").groupBy(*by).applyInPandas(union, schema)
-
     grouped = partials.withColumn("__group", F.pmod(F.xxhash64("data"), F.lit(MERGE_GROUPS)))
-    return merged(merged(grouped, [*names, "__group"]), names)
+    return _merged(_merged(grouped, [*names, "__group"]), names)
+
+
+def _merged(df: DataFrame, by: list[str]) -> DataFrame:
+    """One container for each value of ``by``: sorted rows, one after the other."""
+    rows = df.select(*by, "kind", "n", "data").repartition(*by).sortWithinPartitions(*by)
+    schema = to_arrow_schema(rows.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: tuple | None = None
+        alone: tuple | None = None
+        bits: np.ndarray | None = None
+        out: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        def close() -> None:
+            if key is not None:
+                out.append((*key, *(alone if bits is None else pack(np.flatnonzero(bits)))))
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for here, *found in zip(zip(*columns[: len(by)]), *columns[len(by) :]):
+                if here != key:
+                    close()
+                    key, alone, bits = here, tuple(found), None
+                else:
+                    if bits is None:
+                        bits = np.zeros(PLACES, dtype=bool)
+                        bits[unpack(alone[0], alone[2])] = True
+                    bits[unpack(found[0], found[2])] = True
+                if len(out) >= 4_096:
+                    yield flush()
+        close()
+        if out:
+            yield flush()
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def count_sparse(partials: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
