@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.texts import OWN, n_bytes, require
@@ -44,21 +44,17 @@ def rates(
     else:
         names = F.create_map(*[F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1]))])
         weight = F.coalesce(F.element_at(names, F.col("key.source")), F.lit(0.0))
-    over = Window.partitionBy()  # one row per source
-    # summed in the order of the names, so that the last digits are always the same
-    total_weight = F.aggregate(
-        F.transform(F.array_sort(F.collect_list(F.struct("key", F.col("weight").alias("w"))).over(over)), lambda r: r["w"]),
-        F.lit(0.0),
-        lambda a, w: a + w,
-    )
+    sizes = written(docs.sparkSession, sizes.withColumn("weight", weight), "source-bytes")
+    # Shares of the largest weight, summed as decimals: map-side, in any order
+    # the same digits, and one row comes back however many sources there are.
+    largest = sizes.agg(F.max("weight")).first()[0] or 1.0
+    share = F.col("weight") / F.lit(largest)
+    shares, total = sizes.agg(F.sum(share.cast("decimal(28,18)")), F.sum("bytes")).first()
     rate = F.when(F.col("bytes") == 0, F.lit(1.0)).otherwise(
-        F.col("weight") / F.col("total_weight") * F.sum("bytes").over(over) / F.col("bytes")
+        share / F.lit(float(shares or 1)) * F.lit(float(total or 0)) / F.col("bytes")
     )
-    known = (
-        sizes.withColumn("weight", weight)
-        .withColumn("total_weight", total_weight)
-        .withColumn("rate", rate)
-        .withColumn("pieces", F.greatest(F.lit(1), F.ceil(F.col("rate") / PIECE_RATE)).cast("int"))
+    known = sizes.withColumn("rate", rate).withColumn(
+        "pieces", F.greatest(F.lit(1), F.ceil(F.col("rate") / PIECE_RATE)).cast("int")
     )
     per_piece = F.col("rate") / F.col("pieces")
     terms = F.sequence(F.lit(1), F.ceil(per_piece + 12 * F.sqrt(per_piece) + 30).cast("int"))

@@ -111,6 +111,23 @@ def test_mixing_is_repeatable_and_takes_odd_rows(spark):
     assert key(first) != key(poisson_mix.mix(docs, seed=18))
 
 
+def test_rates_of_many_sources_need_no_single_task(spark):
+    """Rates by hand for thousands of sources, with weights far from 1; no
+    window over all sources is left in the plan."""
+    rows = [(i, f"host{i % 3000}", "x" * (1 + i % 3000 % 7)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    known = poisson_mix.rates(docs, temperature=0.5)
+    assert "Window" not in known._jdf.queryExecution().toString()
+    sizes = {f"host{i}": 2 * (1 + i % 7) for i in range(3000)}
+    weight, total = sum(n**0.5 for n in sizes.values()), sum(sizes.values())
+    got = {r["key"]["source"]: r["rate"] for r in known.collect()}
+    assert got == pytest.approx({s: n**0.5 / weight * total / n for s, n in sizes.items()}, rel=1e-12)
+    tiny = poisson_mix.rates(docs, weights={"host0": 1e-30, "host1": 3e-30}).collect()
+    got = {r["key"]["source"]: r["rate"] for r in tiny}
+    assert got["host0"] == pytest.approx(0.25 * total / 2) and got["host1"] == pytest.approx(0.75 * total / 4)
+    assert got["host2"] == 0
+
+
 def test_mix_query_equals_sql(spark, sf):
     got = oracle.spark_rows(QUERIES["op5_poisson_mix"](spark, sf))
     assert oracle.same(got, oracle.sql_rows(oracle.connect(sf), ORACLES["op5_poisson_mix"])) is None
