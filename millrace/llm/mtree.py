@@ -13,8 +13,10 @@ distance to its parent p bounds it: ``<q, c> <= <q, p> + |q| d(p, c)``; single
 vectors are left out in the same way. The result is exact whatever the bounds.
 
 Every tree first answers the queries among its own vectors, which gives them a
-score to beat; then blocks of queries visit the other trees and bring back only
-what beats it. Equal vectors lie on neighbouring pages in the order of their
+score to beat. The nodes of all trees form a slim table (one row per 512 trees);
+blocks of queries meet it first, and a query goes on only to trees with a node
+that may beat its score. A tree is sent once to each group of at most 64 such
+blocks, and only what beats their scores comes back. Equal vectors lie on neighbouring pages in the order of their
 ids, so that ties are settled by the smallest id on a page.
 """
 
@@ -29,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.hard_negatives import _met, _rows
 from millrace.llm.texts import require
 from millrace.session import written
 
@@ -38,6 +41,9 @@ PAGE, FANOUT = 256, 4
 TREE_ROWS, TREE_BYTES = 4_096, 8 << 20
 #: Trees that one task builds, one after the other.
 TREES_PER_TASK = 2
+#: Trees in one row of the slim table of nodes; blocks of queries that one copy
+#: of such a row, or of a tree, meets.
+DIRECTORY, MEETINGS = 512, 64
 _SLACK = 1e-9
 
 _TREE = (
@@ -85,6 +91,15 @@ def _middle(points: np.ndarray) -> int:
     return int(_norms(f - f.mean(axis=0)).argmin())
 
 
+def _chain(points: np.ndarray) -> np.ndarray:
+    """The points so that each is followed by the nearest one that is left:
+    neighbours in the order of the vectors, and so in one tree, lie near."""
+    order, left = [0], list(range(1, len(points)))
+    while left:
+        order.append(left.pop(int(_norms(points[left] - points[order[-1]]).argmin())))
+    return points[order]
+
+
 def build_tree(v: np.ndarray) -> dict[str, np.ndarray]:
     """Pages of consecutive vectors and nodes of consecutive pages."""
     starts = np.arange(0, len(v), PAGE)
@@ -132,7 +147,7 @@ def forest(vectors: DataFrame, is_query: Column, label: str = "mtree") -> DataFr
     pivots: dict[int, np.ndarray] = {}
     for r in sample:
         pivots.setdefault(r["dim"], []).append(r["v"])
-    pivots = {d: np.array(p, dtype=np.float64).reshape(len(p), d) for d, p in pivots.items()}
+    pivots = {d: _chain(np.array(p, dtype=np.float64).reshape(len(p), d)) for d, p in pivots.items()}
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,6 +301,99 @@ def _answers(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def visits(trees: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Which queries of which block have to visit which other tree: there, home
+    and ``at`` (their places in the block), by the bounds of the tree's nodes. Stored.
+
+    A stated set of queries against all rows: the number of bounds is the product
+    of both numbers, but only blocks and nodes meet here, no trees."""
+    groups = -(-trees.count() // DIRECTORY) or 1
+    salts = -(-blocks.count() // MEETINGS) or 1
+    directory = (
+        trees.withColumn("group", F.pmod(F.xxhash64("tree"), F.lit(groups)))
+        .groupBy("dim", "group")
+        .agg(F.collect_list(F.struct("tree", "node_center", "node_radius")).alias("trees"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    asking = (
+        blocks.select("home", "dim", "q", "least")
+        .withColumn("salt", F.pmod(F.xxhash64("home"), F.lit(salts)).cast("int"))
+        .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, numbers = None, None
+        for row in _rows(batches):
+            here, d = (row["dim"], row["group"], row["salt"]), row["dim"]
+            if not row["second"]:
+                key, numbers = here, np.array([t["tree"] for t in row["trees"]], dtype=np.int64)
+                radii = [np.frombuffer(t["node_radius"], np.float64) for t in row["trees"]]
+                starts = np.cumsum([0, *map(len, radii[:-1])])
+                radius = np.concatenate(radii)
+                raw = b"".join(t["node_center"] for t in row["trees"])
+                center = np.frombuffer(raw, np.int64).reshape(len(radius), d)
+                reach = np.maximum(_norms(center) + radius, 1.0)
+                continue
+            if here != key:
+                continue
+            least = np.frombuffer(row["least"], np.int64)
+            q = np.frombuffer(row["q"], np.int64).reshape(len(least), d)
+            norm = _norms(q)[:, None]
+            bound = _dot(q, center) + norm * radius + (_SLACK * norm * reach + 1e-6)
+            need = np.floor(np.maximum.reduceat(bound, starts, axis=1)) >= least[:, None]
+            need[:, numbers == row["home"]] = False
+            met = np.flatnonzero(need.any(axis=0))
+            columns = [numbers[met], np.full(len(met), row["home"])]
+            at = pa.array([np.flatnonzero(need[:, j]).tolist() for j in met], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), at], names=["there", "home", "at"])
+
+    pairs = _met(directory, asking, ["dim", "group", "salt"]).mapInArrow(run, "there long, home long, at array<int>")
+    return written(trees.sparkSession, pairs, "visits")
+
+
+def _searched(trees: DataFrame, blocks: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """What the queries of ``pairs`` find in the trees that they visit."""
+    copies = pairs.groupBy("there").agg(F.ceil(F.count(F.lit(1)) / MEETINGS).cast("int").alias("copies"))
+    copies = written(trees.sparkSession, copies, "copies")
+    each = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt")
+    index = trees.drop("is_query").withColumnRenamed("tree", "there")
+    sent = index.join(copies, "there").select(*index.columns, each)
+    asking = "there long, " + _BLOCK
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            at = np.array(row["at"])
+            cells = {c: row[c] for c in ("there", "home", "dim")}
+            cells["q"] = np.frombuffer(row["q"], np.int64).reshape(len(row["q_rows"]), row["dim"])[at].tobytes()
+            cells |= {c: [row[c][i] for i in at] for c in ("q_ids", "q_rows")}
+            cells |= {c: np.frombuffer(row[c], np.int64)[at].tobytes() for c in ("least", "least_id")}
+            yield _cast(pa.RecordBatch.from_pylist([cells]), asking)
+
+    visitors = (
+        pairs.join(blocks, "home")
+        .mapInArrow(cut, asking)
+        .join(copies, "there")
+        .withColumn("salt", F.pmod(F.xxhash64("home"), F.col("copies")).cast("int"))
+        .drop("copies")
+    )
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, tree = None, None
+        for row in _rows(batches):
+            if not row["second"]:
+                number, tree = row["there"], _Tree(row | {"is_query": []})
+            elif row["there"] == number:
+                q = np.frombuffer(row["q"], np.int64).reshape(len(row["q_rows"]), row["dim"])
+                least, least_id = (np.frombuffer(row[c], np.int64) for c in ("least", "least_id"))
+                found = []
+                for j, (own, query_id) in enumerate(zip(row["q_rows"], row["q_ids"])):
+                    for s, vec_id, r in tree.search(q[j], own, k, int(least[j]), int(least_id[j])):
+                        found.append((own, query_id, vec_id, r, s))
+                yield _answers(found)
+
+    return _met(sent, visitors, ["there", "salt"]).mapInArrow(visit, _FOUND)
+
+
 def top_k(trees: DataFrame, k: int = 5) -> DataFrame:
     """For each query row of the index its k best other rows: query_id, rank,
     vec_id, score; fewer if there are fewer rows of the same dimension. Ties go
@@ -323,35 +431,7 @@ def top_k(trees: DataFrame, k: int = 5) -> DataFrame:
                 yield _answers([(row["q_rows"][j], row["q_ids"][j], i, r, s) for j, s, i, r in entries])
 
     home = blocks.select("q_ids", "q_rows", "found").mapInArrow(first_found, _FOUND)
-    # Every block visits every other tree of its dimension: a stated set of
-    # queries against all rows, in blocks that are pruned as wholes.
-    others = trees.select("dim", F.col("tree").alias("there"))
-    visits = (
-        blocks.drop("found")
-        .join(others, "dim")
-        .where("there <> home")
-        .join(trees.drop("is_query").withColumnRenamed("tree", "there"), ["there", "dim"])
-    )
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if last[0] != row["there"]:
-                    last = (row["there"], _Tree(row | {"is_query": []}))
-                tree, d = last[1], row["dim"]
-                q = np.frombuffer(row["q"], np.int64).reshape(len(row["q_rows"]), d)
-                least, least_id = (np.frombuffer(row[c], np.int64) for c in ("least", "least_id"))
-                bound = _dot(q, tree.node_center) + _norms(q)[:, None] * tree.node_radius
-                slack = _SLACK * _norms(q) * tree.reach + 1e-6
-                found = []
-                for j in np.flatnonzero(np.floor(bound.max(axis=1) + slack) >= least):
-                    for s, vec_id, r in tree.search(q[j], row["q_rows"][j], k, int(least[j]), int(least_id[j])):
-                        found.append((row["q_rows"][j], row["q_ids"][j], vec_id, r, s))
-                yield _answers(found)
-
-    away = visits.mapInArrow(visit, _FOUND)
+    away = _searched(trees, blocks.drop("found"), visits(trees, blocks), k)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
     return (
         home.unionByName(away)

@@ -85,6 +85,27 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert found(spark, vectors) == brute.top_k(vectors)
 
 
+def test_queries_visit_only_trees_that_may_beat_them(spark, monkeypatch):
+    """Two far clusters in many trees, blocks and groups of the slim table:
+    few of the (block, tree) pairs stay, and the answers are exact."""
+    r = np.random.default_rng(9)
+    far = [[3.0, 0.0, 0.1, 0.0], [0.0, 3.0, 0.0, 0.1]]
+    vectors = [(i, (np.array(far[i % 2]) + r.normal(size=4) / 9).astype(np.float32).tolist()) for i in range(900)]
+    for name, value in {"TREE_ROWS": 40, "PAGE": 8, "DIRECTORY": 4, "MEETINGS": 2}.items():
+        monkeypatch.setattr(mtree, name, value)
+    seen, plain = [], mtree.visits
+
+    def visits(trees, blocks):
+        pairs = plain(trees, blocks)
+        seen.append((pairs.count(), trees.count() * blocks.count(), pairs.where("there = home").count()))
+        return pairs
+
+    monkeypatch.setattr(mtree, "visits", visits)
+    assert found(spark, vectors) == brute.top_k(vectors)
+    pairs, product, own = seen[0]
+    assert own == 0 and 0 < pairs < 0.7 * product
+
+
 def test_search_of_an_empty_table(spark):
     assert found(spark, []) == []
 
