@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.texts import OWN, require, require_whole, text_or_empty
-from millrace.session import written
+from millrace.session import Scratch, shuffles_dropped, written
 
 LENGTH = 200
 GRAM = 32
@@ -322,17 +322,16 @@ def _ends(value: Column, n: Column | int) -> Column:
     return F.substr(value, F.octet_length(value) - n + 1, n)
 
 
-def _divided(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, list[DataFrame]]:
+def _divided(rows: DataFrame, length: int, group: int, scratch: Scratch) -> tuple[DataFrame, list[DataFrame]]:
     """Groups of more than ``group`` surroundings taken apart; see the module.
 
     Returns rows in groups that are small enough, and the spans settled on the way."""
-    spark = rows.sparkSession
     rows = rows.withColumn("part", F.lit("")).withColumn("partner", F.lit(False))
     small, spans = [], []
     ranges = [(0, length - GRAM)]
     while True:
         sizes = rows.groupBy("gram", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group)
-        sizes = written(spark, sizes.select("gram", "part"), "large-groups")
+        sizes = scratch.written(sizes.select("gram", "part"), "large-groups")
         if sizes.isEmpty():
             return _all([*small, rows]), spans
         small.append(rows.join(sizes, ["gram", "part"], "left_anti"))
@@ -357,13 +356,13 @@ def _divided(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, list[
                     .withColumn("lefts", F.least(F.lit(b), F.octet_length("before")).cast("int"))
                     .withColumn("rights", F.least(F.lit(length - a), F.octet_length("after")).cast("int"))
                 )
-        dealt = written(spark, _all(parts), "halves")
+        dealt = scratch.written(_all(parts), "halves")
         # equal in all bytes of all strings of this half: repeats as a whole
         alike = dealt.groupBy("gram", "part", "outer").agg(
             F.count(F.lit(1)).alias("n"),
             *[F.first(c).alias(c) for c in ("u1", "u2", "before", "after", "partner")],
         )
-        alike = written(spark, alike, "alike")
+        alike = scratch.written(alike, "alike")
         settled = dealt.join(alike.where("n > 1").select("gram", "part", "outer"), ["gram", "part", "outer"])
         spans.append(
             settled.where(~F.col("partner") & (F.col("lefts") + F.col("rights") >= length)).select(
@@ -409,23 +408,47 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 def repeat_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", group: int = GROUP) -> DataFrame:
     """Per distinct text that has any: k1, k2 (its key) and ``spans``, an array
-    of (start, end) bytes around anchors; their union is what occurs again."""
+    of (start, end) bytes around anchors; their union is what occurs again.
+
+    The result is stored; tables and shuffles on the way to it are deleted as soon
+    as nothing reads them any more."""
     if length < 2 * GRAM:
         raise ValueError(f"strings must have at least {2 * GRAM} bytes")
     spark = docs.sparkSession
     texts = _keyed(docs, text).select(
         F.col(f"{OWN}k1").alias("k1"), F.col(f"{OWN}k2").alias("k2"), text_or_empty(text).alias("text")
     )
-    sketch = spark.sparkContext.broadcast(_sketch(_grams(texts, length)))
-    candidates = written(spark, _candidates(texts, sketch, length), "anchors")
+    with shuffles_dropped(spark), Scratch(spark, "repeats") as kept:
+        sketch = spark.sparkContext.broadcast(_sketch(_grams(texts, length)))
+        candidates = kept.written(_candidates(texts, sketch, length), "anchors")
+        with Scratch(spark, "surroundings") as scratch:
+            # stored, so that the planner may split a busy key of the join at run time
+            widest = kept.written(_widest(candidates, texts, length, group, scratch), "widest")
+        place = F.shiftright("at", 32)
+        spans = (
+            candidates.join(widest, ["gram", "u1", "u2"])
+            .groupBy("k1", "k2", place.alias("place"))
+            .agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
+            .groupBy("k1", "k2")
+            .agg(
+                F.collect_list(
+                    F.struct((F.col("place") - F.col("lefts")).alias("a"), (F.col("place") + F.col("rights")).alias("b"))
+                ).alias("spans")
+            )
+        )
+        return written(spark, spans, "repeat-spans")
+
+
+def _widest(candidates: DataFrame, texts: DataFrame, length: int, group: int, scratch: Scratch) -> DataFrame:
+    """Bytes to the left and right of each kind of anchor that occur again."""
     alike = candidates.groupBy("gram", "u1", "u2").agg(
         F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "at")]
     )
-    alike = written(spark, alike, "surroundings")
+    alike = scratch.written(alike, "surroundings")
     several = alike.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    wanted = alike.join(several.select("gram"), "gram", "left_semi")
-    around = written(spark, _surroundings(texts, wanted, length), "around")
-    groups, spans = _divided(around, length, group)
+    wanted = alike.drop("n").join(several.select("gram"), "gram", "left_semi")
+    around = scratch.written(_surroundings(texts, scratch.written(wanted, "wanted"), length), "around")
+    groups, spans = _divided(around, length, group, scratch)
     whole = alike.where("n > 1").select(
         "gram",
         "u1",
@@ -434,22 +457,8 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", grou
         F.col("at").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("rights"),
         F.lit(False).alias("maximal"),
     )
-    found = written(spark, _all([whole, _trees(groups, length), *spans]), "spans")
-    widest = found.groupBy("gram", "u1", "u2").agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
-    # stored, so that the planner may split a busy key of the join at run time
-    widest = written(spark, widest, "widest")
-    place = F.shiftright("at", 32)
-    return (
-        candidates.join(widest, ["gram", "u1", "u2"])
-        .groupBy("k1", "k2", place.alias("place"))
-        .agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
-        .groupBy("k1", "k2")
-        .agg(
-            F.collect_list(
-                F.struct((F.col("place") - F.col("lefts")).alias("a"), (F.col("place") + F.col("rights")).alias("b"))
-            ).alias("spans")
-        )
-    )
+    found = _all([whole, _trees(groups, length), *spans])
+    return found.groupBy("gram", "u1", "u2").agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:

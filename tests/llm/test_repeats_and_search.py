@@ -1,7 +1,9 @@
 """Long repeats and exact search against brute force."""
 
 import math
+import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import mtree, suffix_repeats
 from millrace.llm.queries import QUERIES
+from millrace.session import work_dir
 from tests.llm import brute
 
 ALPHABET = "abcdefgh ijk\nélm"
@@ -54,6 +57,24 @@ def test_repeats_of_an_empty_table(spark):
     assert suffix_repeats.without_repeats(docs).collect() == []
 
 
+def test_repeats_leave_no_tables_and_shuffles_behind(spark):
+    texts = repeat_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    blocks = [str(d) for d in spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f for top in blocks for *_, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    home = os.path.dirname(work_dir(spark))
+    tables, before = set(os.listdir(home)), shuffles()
+    found = suffix_repeats.without_repeats(docs)
+    end = time.time() + 20  # executors delete them in the background
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert [t.startswith("repeat-spans") for t in set(os.listdir(home)) - tables] == [True]
+    assert [tuple(r) for r in sorted(found.select("n_bytes", "n_removed").collect())] == sorted(
+        r[:2] for r in brute.repeats(texts, 200)
+    )
+
+
 def test_interval_tree_yields_all_members_and_maximality():
     after = sorted([b"aaaa1", b"aaaa2", b"aab", b"c"])
     assert sorted(suffix_repeats.intervals([4, 2, 0], 4)) == [(0, 0, 3), (2, 0, 2), (4, 0, 1)]
