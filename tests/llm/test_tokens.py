@@ -47,6 +47,25 @@ def test_memory_is_bounded_and_results_do_not_depend_on_it(library, monkeypatch)
     assert len(mine.ids) < 100
 
 
+def test_common_segments_stay_known(library, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_SEGMENTS", 40)
+    mine, made = tokens.Segments(tokenizer_file()), []
+    make = mine._make
+    monkeypatch.setattr(mine, "_make", lambda segments: made.extend(segments) or make(segments))
+    for i in range(200):
+        text = f"the rare{i} Été{i}É ÉTÉ$$$ \u0130\u0130. end{i}###"
+        assert np.frombuffer(mine.encode(text.encode()), "<u4").tolist() == ids(library, text)
+    assert made.count(b"the") == made.count("ÉTÉ$$$".encode().lower()) == 1
+    assert len(mine.ids) + len(mine.older) < 50
+
+
+def test_words_without_end_marks_go_one_by_one(library):
+    mine = tokens.Segments(tokenizer_file())
+    mine.closes[:] = False
+    text = "Unbelievable words, d'été."
+    assert np.frombuffer(mine.encode(text.encode()), "<u4").tolist() == ids(library, text)
+
+
 def test_other_kinds_of_tokenizers_are_refused():
     with pytest.raises(ValueError, match="white space"):
         tokens.Segments(tokenizer_file("byte_bpe_50k.json"))
