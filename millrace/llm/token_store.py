@@ -41,8 +41,9 @@ BLOCKS = (
 )
 
 
-def _ids(segments, text: str, end_id: int) -> bytes:
-    return segments.encode(text.encode()) + end_id.to_bytes(4, "little")
+def _ids(segments, texts: pa.Array, end_id: int) -> Iterator[bytes]:
+    end = end_id.to_bytes(4, "little")
+    return (b"".join((ids, end)) for ids in segments.encode_many(texts))
 
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes:
@@ -58,8 +59,7 @@ def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = segments_of(tokenizer_file)
         for batch in batches:
-            for text in batch.column(0):
-                data = _ids(segments, text.as_py(), end_id)
+            for data in _ids(segments, batch.column(0), end_id):
                 blocks = [data[i : i + 4 * SAMPLE_IDS] for i in range(0, len(data), 4 * SAMPLE_IDS)]
                 yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], names=["b"])
 
@@ -119,8 +119,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = _ids(segments, text.as_py() or "", end_id)
+            for doc_id, data in zip(batch.column(0).to_pylist(), _ids(segments, batch.column(1), end_id)):
                 frames.append(packer.compress(data))
                 ids.append(doc_id)
                 counts.append(len(data) // 4)

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,43 @@ def test_words_without_end_marks_go_one_by_one(library):
     assert np.frombuffer(mine.encode(text.encode()), "<u4").tolist() == ids(library, text)
 
 
+LATIN = [*map(chr, range(0x80, 0x260)), *"aZ.,<'´\u0301"]
+
+
+def test_texts_of_a_batch_are_encoded_together(library, monkeypatch):
+    mine, calls = tokens.Segments(tokenizer_file()), []
+    run = mine._run
+    monkeypatch.setattr(mine, "_run", lambda words, n: calls.append(n) or run(words, n))
+    batch = [f"The word{'aeiou'[i % 5] * (i + 1)}, the WORD!!! été" for i in range(60)]
+    got = mine.encode_many(pa.array(batch))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids(library, t) for t in batch]
+    assert len(calls) == 1 and calls[0] <= 63
+    assert [len(g) for g in mine.encode_many(pa.array(batch))] and len(calls) == 1
+
+
+@pytest.mark.parametrize(("kept", "size", "words"), [(600_000, 8 << 20, 1 << 14), (40, 200, 3), (5, 1, 1)])
+def test_batches_encode_as_the_library_does(library, monkeypatch, kept, size, words):
+    for name, value in (("KEPT_SEGMENTS", kept), ("SLICE_BYTES", size), ("CALL_WORDS", words)):
+        monkeypatch.setattr(tokens, name, value)
+    r = random.Random(9)
+    batch = [*texts(), None, "", None, "word" * 30 + ". a", *LATIN, *(a + b + "." for a in LATIN[::7] for b in LATIN[::5])]
+    batch += ["".join(r.choice(LATIN) for _ in range(9)) for _ in range(500)]
+    batch = batch if size > 200 else batch[::9]
+    mine, want = tokens.Segments(tokenizer_file()), [ids(library, t) for t in batch]
+    for column in (pa.array(batch), pa.array(["cut off", *batch], pa.large_string()).slice(1)):
+        assert [np.frombuffer(g, "<u4").tolist() for g in mine.encode_many(column)] == want
+        assert len(mine.met) == len(mine.met_ids) == len(mine.met_last) <= kept
+    assert list(mine.encode_many(pa.array([], pa.string()))) == []
+
+
+def test_words_of_a_batch_without_end_marks_go_one_by_one(library):
+    mine = tokens.Segments(tokenizer_file())
+    mine.closes[:] = False
+    batch = ["Unbelievable words, d'été.", "", "Été words"]
+    got = [np.frombuffer(g, "<u4").tolist() for g in mine.encode_many(pa.array(batch))]
+    assert got == [ids(library, t) for t in batch]
+
+
 def test_other_kinds_of_tokenizers_are_refused():
     with pytest.raises(ValueError, match="white space"):
         tokens.Segments(tokenizer_file("byte_bpe_50k.json"))
