@@ -9,26 +9,29 @@ event times and not on the order of arrival.
 
 from __future__ import annotations
 
+import base64
 import json
 from collections.abc import Callable, Iterator, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from millrace.streaming.blocks import EXACT, KEY, BlockProcessor, Pending, from_json
 from millrace.streaming.processors import process
 
-_EXACT = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "ignoreNullFields": "false",
-}
 _ROW = T.StructType([T.StructField("row", T.StringType())])
 _VERSION = T.StructType([T.StructField("us", T.LongType()), T.StructField("tie", T.LongType())])
 _WAITING = T.StructType([T.StructField("us", T.LongType()), T.StructField("n", T.LongType())])
 _DUE = T.StructType([T.StructField("ms", T.LongType()), T.StructField("n", T.LongType())])
+#: Rows of a body that are handed on at a time.
+OUT_ROWS = 10_000
 
 
 def tagged(stream: DataFrame, keys: Sequence[str], time: str, side: int, tie: Column | None = None) -> DataFrame:
@@ -40,12 +43,12 @@ def tagged(stream: DataFrame, keys: Sequence[str], time: str, side: int, tie: Co
         F.lit(side).alias("side"),
         F.unix_micros(F.col(time)).alias("us"),
         (F.lit(0) if tie is None else tie).cast("long").alias("tie"),
-        F.to_json(F.struct(*rest), _EXACT).alias("row"),
+        F.to_json(F.struct(*rest), EXACT).alias("row"),
     )
 
 
 def untagged(df: DataFrame, packed: str, like: T.StructType) -> Column:
-    return F.from_json(packed, like, {k: v for k, v in _EXACT.items() if k != "ignoreNullFields"})
+    return from_json(df, packed, like)
 
 
 class TemporalJoin(StatefulProcessor):
@@ -156,39 +159,78 @@ def temporal_join(
     ).select(*on, time, "l.*", f"version_{time}", "v.*")
 
 
-class ClosingWindow(StatefulProcessor):
-    """Keeps the rows of a key and window, and hands them to ``body`` once, when
-    the watermark reaches the window's end.
+def _plain(value: object, kind: T.DataType) -> object:
+    """A key's value out of its JSON, as it comes out of a table."""
+    if value is None:
+        return None
+    if isinstance(kind, T.DecimalType):
+        return Decimal(value)
+    if isinstance(kind, T.FractionalType):
+        return float(value)
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return datetime.fromisoformat(value).replace(tzinfo=None)
+    if isinstance(kind, T.DateType):
+        return date.fromisoformat(value)
+    return base64.b64decode(value) if isinstance(kind, T.BinaryType) else value
+
+
+class ClosingWindow(BlockProcessor):
+    """Keeps the rows of windows, and hands those of a key and window to
+    ``body`` once, when the watermark reaches the window's end.
 
     ``body(key, left, right)`` gets the rows of both sides as lists of dicts, in
-    order of time, and returns dicts with the columns of ``names``.
+    order of time, and returns dicts with the columns of ``names``. Rows of a
+    block of keys are kept in tables, in order of their windows.
     """
 
-    def __init__(self, body: Callable, end: int, names: Sequence[str]) -> None:
-        self.body, self.end, self.names = body, end, list(names)
+    columns = ("side", "us", "due", "row")
+    keyed = False
+
+    def __init__(self, body: Callable, size_ms: int, names: Sequence[str], keys: Sequence[T.StructField]) -> None:
+        self.body, self.size_ms, self.names = body, size_ms, list(names)
+        self.key_types = [f.dataType for f in keys]
+        self.named = Row(*[f.name for f in keys], "window_ms", "window_end_ms")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        fields = [T.StructField("side", T.IntegerType()), T.StructField("us", T.LongType()), *_ROW]
-        self.rows = handle.getListState("rows", T.StructType(fields))
+        kinds = [(KEY, pa.string()), ("side", pa.int32()), ("us", pa.int64()), ("due", pa.int64()), ("row", pa.string())]
+        self.pending = Pending(handle, pa.schema(kinds))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if not self.rows.exists():
-            self.handle.registerTimer(int(key[self.end]))
-        for batch in rows:
-            self.rows.appendList(list(zip(map(int, batch["side"]), map(int, batch["us"]), batch["row"])))
+        names = self.pending.schema.names
+        self.pending.add(batch[names] for batch in rows)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = sorted((us, side, row) for side, us, row in self.rows.get())
-        sides = [[json.loads(row) | {"us": us} for us, s, row in held if s == side] for side in (0, 1)]
-        self.rows.clear()
-        made = list(self.body(key, *sides))
+        made: list[dict] = []
+        for rows in self.pending.take(timerValues.getCurrentWatermarkInMs()):
+            for one, sides in self._windows(rows):
+                made.extend(self.body(one, *sides))
+                if len(made) >= OUT_ROWS:
+                    yield self._frame(made)
+                    made = []
         if made:
-            yield pd.DataFrame([[r[c] for c in self.names] for r in made], columns=self.names)
-
-    def close(self) -> None:
-        pass
+            yield self._frame(made)
+
+    def _windows(self, rows: pa.Table) -> Iterator[tuple[tuple, list[list[dict]]]]:
+        """Each key and window of ``rows``, and the rows of both sides."""
+        rows = rows.sort_by([(c, "ascending") for c in ("due", KEY, "side", "us", "row")])
+        due, side, us = (rows[c].to_numpy() for c in ("due", "side", "us"))
+        codes = rows[KEY].combine_chunks().dictionary_encode().indices.to_numpy()
+        starts = np.flatnonzero(np.diff(due, prepend=due[0] - 1) | np.diff(codes, prepend=-1))
+        middles = starts + np.add.reduceat(side == 0, starts, dtype=np.int64)
+        texts, keys = rows["row"].to_pylist(), rows[KEY].take(pa.array(starts)).to_pylist()
+        ends = [*starts[1:].tolist(), len(texts)]
+        for name, end_ms, a, m, b in zip(keys, due[starts].tolist(), starts.tolist(), middles.tolist(), ends):
+            found = json.loads(f"[{','.join(texts[a:b])}]")
+            for row, at in zip(found, us[a:b].tolist()):
+                row["us"] = at
+            key = (_plain(v, t) for v, t in zip(json.loads(name, parse_float=str).values(), self.key_types))
+            yield self.named(*key, end_ms - self.size_ms, end_ms), [found[: m - a], found[m - a :]]
+
+    def _frame(self, made: list[dict]) -> pd.DataFrame:
+        columns = {c: [r[c] for r in made] for c in self.names}
+        # whole numbers beside a null stay whole numbers
+        return pd.DataFrame({c: pd.Series(v, dtype=object if None in v else None) for c, v in columns.items()})
 
 
 def window_body(
@@ -213,9 +255,8 @@ def window_body(
     if other is not None:
         both = both.unionByName(tagged(other, keys, time, 1))
     size = F.lit(size_ms)
-    start = F.floor(F.col("us") / 1000 / size) * size
-    both = both.withColumn("window_ms", start).withColumn("window_end_ms", F.col("window_ms") + size)
+    both = both.withColumn("due", (F.floor(F.col("us") / 1000 / size) + 1) * size)
     whole = body if other is not None else lambda key, rows, _none: body(key, rows)
     names = [f.name for f in T.StructType.fromDDL(schema)]
-    by = [*keys, "window_ms", "window_end_ms"]
-    return process(both, by, ClosingWindow(whole, len(by) - 1, names), schema, "EventTime")
+    closing = ClosingWindow(whole, size_ms, names, [stream.schema[c] for c in keys])
+    return process(both, list(keys), closing, schema, "EventTime")
