@@ -2,6 +2,7 @@
 
 import collections
 import random
+import zlib
 
 import pandas as pd
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import work_dir
 from millrace.streaming import blocks as bl
+from millrace.streaming import changelog as cl
 from millrace.streaming import held as hd
 from millrace.streaming import processors as pr
 from millrace.streaming import run as rn
@@ -145,3 +147,81 @@ def test_state_of_windows_does_not_grow_with_keys(spark, monkeypatch):
     body = lambda key, rows: [{"k": key[0], "n": len(rows)}]
     out = rn.run_to_table(hd.window_body(stream, ["k"], "ts", 10, body, "k long, n long"), checkpoint)
     assert out.count() == 0 and pr.read_state(spark, checkpoint, "tables", flat=False).count() <= 4
+
+
+def _sent(aggregate, changes):
+    """What a batch of (key, value, seq, sign) sends, in frames of at most 30 rows."""
+    columns = [bl.KEY, "value", "seq", "sign", bl.HASH]
+    rows = [(k, v, s, n, zlib.crc32(k.encode()) << 10) for k, v, s, n in changes]
+    frames = [pd.DataFrame(rows[i : i + 30], columns=columns) for i in range(0, len(rows), 30)]
+    return [tuple(r) for f in aggregate.handleInputRows((0,), iter(frames), None) for r in f.itertuples(index=False)]
+
+
+def _result(places):
+    there = [p for p, n in places.items() if n > 0]
+    if not there:
+        return None
+    by_seq = lambda p: (p[1], p[0])
+    ends = (min(there), max(there), min(there, key=by_seq), max(there, key=by_seq))
+    return (*(p[0] for p in ends), *(p[1] for p in ends), sum(n for n in places.values() if n > 0))
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_changes_against_plain_python(monkeypatch, small):
+    if small:
+        for name, size in (("PAGE_ROWS", 4), ("GROUP_PAGES", 2), ("BUSY_ROWS", 6), ("ROUND_ROWS", 60)):
+            monkeypatch.setattr(cl, name, size)
+    r, handle = random.Random(3), Handle()
+    aggregate = cl.RetractingAggregate()
+    aggregate.init(handle)
+    held, sent = collections.defaultdict(collections.Counter), {}
+    for step in range(25):
+        changes = []
+        for _ in range(r.choice([1, 5, 200])):
+            k = f'{{"k":{r.choice([0, 0, 0, 1, *range(40)])}}}'
+            back = [p for p, n in held[k].items() if n > 0]
+            if back and r.random() < (0.9 if step % 10 > 6 else 0.3):
+                change = (k, *r.choice(back), -1)
+            else:
+                change = (k, r.choice([-1.5, 0.0, 2.0, 7.25, float(r.randint(0, 50))]), r.randint(-2, 30), r.choice([1, 1, 1, 2, -1]))
+            changes.append(change)
+            held[k][change[1:3]] += change[3]
+        want = []
+        for k in {c[0] for c in changes}:
+            new, old = _result(held[k]), sent.get(k)
+            if new != old:
+                want += [(k, sign, *x) for sign, x in ((-1, old), (1, new)) if x]
+                sent[k] = new
+        assert collections.Counter(_sent(aggregate, changes)) == collections.Counter(want), step
+    assert bool(handle.maps["sent"]) == small
+    rows = sum(len(bl.unpacked(v, cl._HELD)) for v in handle.maps["pages"].values())
+    assert rows == sum(n for _, n in handle.maps["sizes"].values())
+
+
+def test_changes_of_many_keys_share_their_state():
+    handle = Handle()
+    aggregate = cl.RetractingAggregate()
+    aggregate.init(handle)
+    changes = [(f'{{"k":{k}}}', float(i), k, 1) for k in range(1000) for i in range(3)]
+    assert len(_sent(aggregate, changes)) == 1000
+    # three for each change and two for each key before
+    assert handle.asked < 20
+    handle.asked = 0
+    assert len(_sent(aggregate, changes[:1])) == 2 and handle.asked < 6
+    assert _sent(aggregate, [("k", 1.0, 1, 1), ("k", 1.0, 1, -1)]) == []
+    assert 2 <= len(handle.maps["pages"]) <= 4
+
+
+def test_a_busy_key_is_written_page_by_page(monkeypatch):
+    monkeypatch.setattr(cl, "BUSY_ROWS", 500)
+    monkeypatch.setattr(cl, "PAGE_ROWS", 64)
+    handle = Handle()
+    aggregate = cl.RetractingAggregate()
+    aggregate.init(handle)
+    _sent(aggregate, [("k", float(i), i, 1) for i in range(5000)])
+    assert max(len(bl.unpacked(v, cl._HELD)) for v in handle.maps["pages"].values()) < 400
+    handle.asked = 0
+    assert _sent(aggregate, [("k", 20.5, 20, 1)]) == [("k", -1, 0.0, 4999.0, 0.0, 4999.0, 0, 4999, 0, 4999, 5000), ("k", 1, 0.0, 4999.0, 0.0, 4999.0, 0, 4999, 0, 4999, 5001)]
+    assert handle.asked < 12
+    # the largest is taken back: all its pages are gone through
+    assert _sent(aggregate, [("k", 4999.0, 4999, -1)])[1][3:6] == (4998.0, 0.0, 4998.0)
