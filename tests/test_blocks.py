@@ -225,3 +225,23 @@ def test_a_busy_key_is_written_page_by_page(monkeypatch):
     assert handle.asked < 12
     # the largest is taken back: all its pages are gone through
     assert _sent(aggregate, [("k", 4999.0, 4999, -1)])[1][3:6] == (4998.0, 0.0, 4998.0)
+
+
+def test_timers_of_many_keys_share_their_state():
+    handle = Handle()
+    timer = pr.DueTimer("k", "ms", after_ms=2000, round_ms=1000)
+    timer.init(handle)
+    rows = [(f'{{"k":{k}}}', 1 + 500 * i) for k in range(500) for i in range(4)]
+    timer.handleInputRows((0,), iter([pd.DataFrame(rows, columns=[bl.KEY, "ms"])]), None)
+    now = type("Now", (), {"getCurrentWatermarkInMs": lambda self: 3000})()
+    fired = [tuple(r) for f in timer.handleExpiredTimer((0,), now, None) for r in f.itertuples(index=False)]
+    # a timer for each key and second before, and a call for each
+    assert handle.asked < 12 and sorted(fired) == sorted((f'{{"k":{k}}}', 3000) for k in range(500))
+    assert max(handle.timers) == 4000
+
+
+def test_timers_of_null_and_large_keys(spark):
+    stream = _stream(spark, [[(1, BIG), (2, None), (2, None), (None, 3)], [(5000, 3)]], "ms long, k long")
+    timer = pr.DueTimer("k", "ms", after_ms=10)
+    out = rn.run_to_table(pr.process(stream, ["k"], timer, "k long, due_ms long", "EventTime"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(BIG, 11), (None, 12)], key=str)
