@@ -245,3 +245,13 @@ def test_timers_of_null_and_large_keys(spark):
     timer = pr.DueTimer("k", "ms", after_ms=10)
     out = rn.run_to_table(pr.process(stream, ["k"], timer, "k long, due_ms long", "EventTime"))
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(BIG, 11), (None, 12)], key=str)
+
+
+def test_two_sides_of_a_window_with_large_and_null_keys(spark):
+    stream = _stream(spark, [[(1, BIG, 0), (2, BIG, 1), (3, None, 1)], [(25, 7, 0)]], "ms long, k long, side long")
+    left, right = (stream.where(F.col("side") == s).select("k", "ts") for s in (0, 1))
+    # both sides have the one watermark
+    right = right.union(stream.where("side = 0 and ms = 25").select("k", "ts"))
+    body = lambda key, a, b: [{"k": key.k, "a": len(a), "b": len(b)}]
+    out = rn.run_to_table(hd.window_body(left, ["k"], "ts", 10, body, "k long, a long, b long", other=right))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(BIG, 1, 1), (None, 0, 1)], key=str)
