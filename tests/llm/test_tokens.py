@@ -243,3 +243,38 @@ def test_store_query_equals_the_library(spark, sf, library):
         want[d["doc_id"]] = (start, len(data), zlib.crc32(data.tobytes()))
         start += len(data)
     assert {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op7_token_store"](spark, sf).collect()} == want
+
+
+def test_prefix_tables_of_a_batch_equal_those_of_single_texts(library, monkeypatch):
+    monkeypatch.setattr(tokens, "TABLE_BYTES", 300)
+    monkeypatch.setattr(tokens, "KEPT_SEGMENTS", 40)
+    batch = [*texts()[:500], None, "", " a\n", "word" * 30 + ". a", "l'été. L'ÉTÉ! don't", "un une unes univers", *LATIN]
+    mine, alone, at = tokens.Segments(tokenizer_file()), tokens.Segments(tokenizer_file()), 0
+    for ends, counts in mine.tables(pa.array(["cut off", *batch]).slice(1)):
+        for e, c in zip(ends.to_pylist(), counts.to_pylist()):
+            raw = (batch[at] or "").encode()
+            want, before = [], 0
+            for run in raw.split():
+                want += [before + n for n in alone.prefixes(run.decode())]
+                before = want[-1]
+            assert c == want, raw
+            assert e == [i for i in range(1, len(raw) + 1) if not raw[i - 1 : i].isspace() and (i == len(raw) or raw[i] & 0xC0 != 0x80)]
+            at += 1
+    assert at == len(batch)
+
+
+def test_the_count_reads_every_prefix(spark, library, monkeypatch):
+    made, whole = [], tokens.prefix_counts
+
+    def watched(*args, **options):
+        made.append(whole(*args, **options))
+        return made[-1]
+
+    monkeypatch.setattr(tokens, "prefix_counts", watched)
+    text = "unbelievable words, d'été <|endoftext|>"
+    got = tokens.count_tokens(spark.createDataFrame([(text,)], "text string"), tokenizer_file()).first()
+    # entries inside runs far from the limit, too
+    row = made[0].first()
+    inner = [i for i in range(1, len(text) + 1) if not text[i - 1].isspace()]
+    assert row["prefix_tokens"] == [len(ids(library, text[:i])) for i in inner]
+    assert got["n_tokens"] == row["prefix_tokens"][-1]
