@@ -424,12 +424,13 @@ def stream_window_body(spark, sf):
 
 
 def _both_sides(key, views, buys):
+    top = max((v["value"] for v in views if v["value"] is not None), default=0.0)
     yield {
         "user_id": key[0],
         "window_ms": key[1],
         "views": len(views),
         "purchases": len(buys),
-        "bought": sum(r["value"] > max((v["value"] for v in views), default=0.0) for r in buys),
+        "bought": sum(r["value"] is not None and r["value"] > top for r in buys),
     }
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.plans import streams
 from millrace.session import work_dir
 from millrace.streaming import blocks as bl
 from millrace.streaming import changelog as cl
@@ -255,3 +256,9 @@ def test_two_sides_of_a_window_with_large_and_null_keys(spark):
     body = lambda key, a, b: [{"k": key.k, "a": len(a), "b": len(b)}]
     out = rn.run_to_table(hd.window_body(left, ["k"], "ts", 10, body, "k long, a long, b long", other=right))
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(BIG, 1, 1), (None, 0, 1)], key=str)
+
+
+def test_both_sides_leave_null_values_out():
+    values = lambda *v: [{"value": x} for x in v]
+    (row,) = streams._both_sides((1, 0), values(None, 2.0), values(None, 1.0, 3.0))
+    assert (row["views"], row["purchases"], row["bought"]) == (2, 3, 1)
